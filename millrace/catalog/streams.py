@@ -214,7 +214,7 @@ def win_watermark_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 def win_session_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User sessions, written once the watermark has passed their end."""
     return _append_windows(
-        spark, sf_dir, lambda s: event_time.session_counts(s, "ts", "30 minutes", "user_id")
+        spark, sf_dir, lambda s: event_time.session_counts(s, "ts", "8 hours", "user_id")
     )
 
 
@@ -274,11 +274,11 @@ QUERIES = {
 
 SESSIONS_SQL = """marked AS (
   SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)
-    < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS opens, event_id FROM events),
+    <= INTERVAL 8 HOUR THEN 0 ELSE 1 END AS opens, event_id FROM events),
 numbered AS (
   SELECT user_id, ts, sum(opens) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM marked),
 sessions AS (
-  SELECT user_id, min(ts) AS window_start, max(ts) + INTERVAL 30 MINUTE AS window_end,
+  SELECT user_id, min(ts) AS window_start, max(ts) + INTERVAL 8 HOUR AS window_end,
     count(*) AS events FROM numbered GROUP BY user_id, n)"""
 SLIDING_SQL = """SELECT time_bucket(INTERVAL 15 MINUTE, ts) - k * INTERVAL 15 MINUTE AS window_start,
   time_bucket(INTERVAL 15 MINUTE, ts) - k * INTERVAL 15 MINUTE + INTERVAL 1 HOUR AS window_end,

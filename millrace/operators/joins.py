@@ -6,11 +6,12 @@ skewed partitions. Functions marked "starts a job" measure a side before they de
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.expressions import or_else
@@ -211,9 +212,8 @@ def keyed_range_join(
     """Equal keys and ``lower <= value < upper``: the key drives the join, the range filters it."""
     keys = [on] if isinstance(on, str) else list(on)
     renamed = ranges.withColumnsRenamed({k: f"_right_{k}" for k in keys})
-    same_key = reduce(and_, [_named(k) == _named(f"_right_{k}") for k in keys])
     inside = (F.col(value) >= F.col(lower)) & (F.col(value) < F.col(upper))
-    return rows.join(renamed, same_key & inside, how).drop(*[f"_right_{k}" for k in keys])
+    return rows.join(renamed, _equal(keys) & inside, how).drop(*[f"_right_{k}" for k in keys])
 
 
 def version_at(
@@ -227,11 +227,10 @@ def version_at(
     """Each row with the lookup version in force at its own time; an open end never expires."""
     keys = [on] if isinstance(on, str) else list(on)
     renamed = versions.withColumnsRenamed({k: f"_right_{k}" for k in keys})
-    same_key = reduce(and_, [_named(k) == _named(f"_right_{k}") for k in keys])
     in_force = (F.col(at) >= F.col(valid_from)) & (
         F.col(valid_to).isNull() | (F.col(at) < F.col(valid_to))
     )
-    return rows.join(renamed, same_key & in_force, "left").drop(*[f"_right_{k}" for k in keys])
+    return rows.join(renamed, _equal(keys) & in_force, "left").drop(*[f"_right_{k}" for k in keys])
 
 
 def current_versions(versions: DataFrame, flag: str = "is_current") -> DataFrame:
@@ -243,11 +242,22 @@ def current_versions(versions: DataFrame, flag: str = "is_current") -> DataFrame
 
 
 def hot_keys(rows: DataFrame, on: str | list[str], share: float = HOT_SHARE) -> DataFrame:
-    """Keys that hold more than ``share`` of the rows. There are fewer than ``1 / share`` of them."""
+    """Keys that hold more than ``share`` of the rows, a null key included.
+
+    Fewer than ``1 / share`` keys can do so. Keys and grand total are counted in one pass, and
+    only the largest few counts, the total among them, go on to the comparison.
+    """
     keys = [on] if isinstance(on, str) else list(on)
-    total = rows.select(F.count(F.lit(1))).scalar()
-    counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return counted.where(F.col("_n") > total * F.lit(share)).select(*keys)
+    counted = rows.groupingSets([keys, []], *keys).agg(
+        F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_grouping")
+    )
+    largest = counted.orderBy(F.desc("_n"), F.desc("_grouping")).limit(math.ceil(1 / share) + 1)
+    total = F.max("_n").over(Window.partitionBy(F.lit(1)))
+    return (
+        largest.withColumn("_total", total)
+        .where((F.col("_grouping") == 0) & (F.col("_n") > F.col("_total") * F.lit(share)))
+        .select(*keys)
+    )
 
 
 def salted_join(
@@ -261,49 +271,71 @@ def salted_join(
 ) -> DataFrame:
     """Join as usual, but spread the left side's hot keys over ``salts`` partitions each.
 
-    Only right rows of hot keys are repeated, once per salt; all other keys join as they are.
-    Null keys, which match nothing, are spread too. The salt comes from the row and its input
-    partition, so a retried task gives a row the same salt and copies of one row still spread.
-    ``residual`` may test further columns of both sides by name; other columns must not share
-    names. Right and full joins add the right rows whose key the left side lacks.
+    Starts a job that finds the hot keys, fewer than ``1 / share``; if there are none, this is a
+    plain join. Only right rows of hot keys are repeated, once per salt. The salt comes from the
+    row and its input partition, so a retried task gives a row the same salt and copies of one
+    row still spread. ``residual`` may test further columns of both sides by name; apart from
+    the keys, the sides must not share column names.
     """
     keys = [on] if isinstance(on, str) else list(on)
     clash = (set(left.columns) & set(right.columns)) - set(keys)
     if clash and how not in {"left_semi", "left_anti"}:
         raise ValueError(f"both sides have {sorted(clash)}; rename one side first")
-    if how in {"right", "full"}:
-        if residual is not None:
-            raise ValueError(f"a {how} join takes no residual condition")
-        hits = salted_join(left, right, keys, "inner" if how == "right" else "left", salts, share)
-        left_keys = left.select(*keys).distinct()
-        only_right = right.join(left_keys, on=keys, how="left_anti")
-        return hits.unionByName(only_right, allowMissingColumns=True)
-    if how not in {"inner", "left", "left_semi", "left_anti"}:
+    if how not in {"inner", "left", "right", "full", "left_semi", "left_anti"}:
         raise ValueError(f"unknown join type {how!r}")
-
-    # Fewer than 1 / share rows, whatever the data: safe to broadcast.
-    hot = F.broadcast(hot_keys(left, keys, share).withColumn("_hot", F.lit(True)))
-    null_key = reduce(lambda a, b: a | b, [_named(k).isNull() for k in keys])
-    row_hash = F.xxhash64(*[_named(c) for c in left.columns]) + F.spark_partition_id()
-    spread = (
-        left.withColumn("_slot", F.pmod(row_hash, F.lit(salts)).cast("int"))
-        .join(hot, on=keys, how="left")
-        .withColumn("_salt", F.when(F.col("_hot") | null_key, F.col("_slot")).otherwise(F.lit(0)))
-        .drop("_hot", "_slot")
-    )
-    every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
-    repeated = (
-        right.join(hot, on=keys, how="left")
-        .withColumn("_salt", F.explode(F.when(F.col("_hot"), every_salt).otherwise(F.array(F.lit(0)))))
-        .drop("_hot")
-        .withColumnsRenamed({k: f"_right_{k}" for k in [*keys, "_salt"]})
+    if residual is not None and how in {"right", "full"}:
+        raise ValueError(f"a {how} join takes no residual condition")
+
+    hot = [tuple(row) for row in hot_keys(left, keys, share).collect()]
+    slot = F.xxhash64(*[_named(c) for c in left.columns], F.spark_partition_id())
+    spread = left.withColumn(
+        "_salt",
+        F.when(_key_among(hot, left, keys), F.pmod(slot, F.lit(salts)).cast("int")).otherwise(0),
     )
-    condition = reduce(and_, [_named(k) == _named(f"_right_{k}") for k in [*keys, "_salt"]])
+    # A null key matches nothing, so its right rows need no copies.
+    copied = [key for key in hot if None not in key]
+    copies = F.when(
+        _key_among(copied, right, keys), F.sequence(F.lit(0), F.lit(salts - 1))
+    ).otherwise(F.array(F.lit(0)))
+    repeated = right.withColumn("_salt", F.explode(copies) if copied else F.lit(0))
+    repeated = repeated.withColumnsRenamed({k: f"_right_{k}" for k in [*keys, "_salt"]})
+    condition = _equal([*keys, "_salt"] if hot else keys)
     if residual is not None:
         condition = condition & residual
     joined = spread.join(repeated, condition, how)
-    rest = [c for c in left.columns if c not in keys]
+
+    rest = [_named(c) for c in left.columns if c not in keys]
     if how in {"left_semi", "left_anti"}:
-        return joined.select(*[_named(c) for c in [*keys, *rest]])
-    added = [c for c in right.columns if c not in keys]
-    return joined.select(*[_named(c) for c in [*keys, *rest, *added]])
+        return joined.select(*[_named(k) for k in keys], *rest)
+    if how in {"right", "full"} and copied:
+        # A hot key has left rows, so a copy that met none of them is not an unmatched row.
+        stray = _named("_salt").isNull() & _key_among(copied, right, keys, "_right_")
+        joined = joined.where(~F.coalesce(stray, F.lit(False)))
+    added = [_named(c) for c in right.columns if c not in keys]
+    named_keys = [F.coalesce(_named(k), _named(f"_right_{k}")).alias(k) for k in keys]
+    return joined.select(*named_keys, *rest, *added)
+
+
+def _equal(names: Sequence[str]) -> Column:
+    return reduce(and_, [_named(n) == _named(f"_right_{n}") for n in names])
+
+
+def _key_among(
+    values: Sequence[tuple], frame: DataFrame, keys: Sequence[str], prefix: str = ""
+) -> Column:
+    """Whether a row's key is one of the given tuples; null equals null."""
+    kinds = [frame.schema[k].dataType for k in keys]
+    return reduce(
+        or_,
+        [
+            reduce(
+                and_,
+                [
+                    _named(f"{prefix}{k}").eqNullSafe(F.lit(v).cast(kind))
+                    for k, v, kind in zip(keys, value, kinds, strict=True)
+                ],
+            )
+            for value in values
+        ],
+        F.lit(False),
+    )

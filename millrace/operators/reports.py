@@ -86,7 +86,7 @@ def sorted_rows(frame: DataFrame, *keys: str) -> DataFrame:
     Ties are ordered by the row and its input partition, so range partitioning can cut through
     a key that holds a large part of the rows instead of sending it all to one task.
     """
-    tie = F.xxhash64(*[F.col(f"`{c}`") for c in frame.columns]) + F.spark_partition_id()
+    tie = F.xxhash64(*[F.col(f"`{c}`") for c in frame.columns], F.spark_partition_id())
     return frame.withColumn("_tie", tie).orderBy(*keys, "_tie").drop("_tie")
 
 

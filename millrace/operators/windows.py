@@ -38,7 +38,7 @@ def sliding_counts(frame: DataFrame, time: str, size: str, slide: str, *keys: st
 
 
 def session_counts(frame: DataFrame, time: str, gap_seconds: int, *keys: str) -> DataFrame:
-    """Rows per session: a session ends once nothing came for ``gap_seconds``.
+    """Rows per session: a session ends once nothing came for longer than ``gap_seconds``.
 
     Rows of one key within one gap-wide bucket always share a session, so each bucket shrinks to
     its first and last time and its count before sessions are merged. A key then has at most one

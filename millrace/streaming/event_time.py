@@ -19,7 +19,7 @@ def window_counts(
 
 
 def session_counts(stream: DataFrame, time: str, gap: str, *keys: str) -> DataFrame:
-    """Rows per key and session, a session ending once nothing came for ``gap``."""
+    """Rows per key and session, a session ending once nothing came for longer than ``gap``."""
     return _flat(stream.groupBy(F.session_window(time, gap), *keys), "session_window", *keys)
 
 
