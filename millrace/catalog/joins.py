@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from millrace.catalog import data
 from millrace.catalog.data import with_sales
 from millrace.operators import joins
+from millrace.scratch import cut_lineage
 from millrace.sources.tables import literal_rows
 
 BANDS = [
@@ -32,7 +33,10 @@ def join_left(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def join_right(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _sold(spark, sf_dir).join(data.wide_lookup(spark, sf_dir), on="product_id", how="right")
+    """Salted: AQE splits only the right side of a right join, and sales are on the left."""
+    return joins.salted_join(
+        _sold(spark, sf_dir), data.wide_lookup(spark, sf_dir), "product_id", "right"
+    )
 
 
 def join_full(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,7 +84,8 @@ def join_band_binned(spark: SparkSession, sf_dir: str) -> DataFrame:
         "purchases",
     )
     rows = events.select("event_id", "at")
-    return joins.band_join(rows, bands, "at", loop_rows=0).drop("lower", "upper")
+    stored = cut_lineage(bands, "busy-hours")
+    return joins.band_join(rows, stored, "at", loop_rows=0).drop("lower", "upper")
 
 
 def join_band_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,6 @@ from millrace.catalog.cleaning import CATEGORY_REPORT_SQL
 from millrace.catalog.data import with_sales
 from millrace.catalog.reports import SQL as REPORT_SQL
 from millrace.operators.cleaning import accepted, clean_sales
-from millrace.operators.joins import enrich
 from millrace.operators.quality import stored_once
 from millrace.operators.reports import category_totals, word_count
 from millrace.scratch import fresh_folder
@@ -23,6 +22,7 @@ from millrace.sinks.files import publish_arrival
 from millrace.sources.streams import arrivals, read_stream
 from millrace.sources.tables import read_table
 from millrace.streaming import event_time
+from millrace.streaming.lookups import enrich_stream
 from millrace.streaming.runs import AVAILABLE_NOW, drain, finish
 
 WATERMARK = "2 hours"
@@ -31,7 +31,7 @@ FOLLOW_UP_SECONDS = 3600
 
 def _sold_stream(spark: SparkSession, sf_dir: str, landing: str) -> DataFrame:
     raw = arrivals(spark, landing, data.RAW_SALES_DDL)
-    return enrich(accepted(clean_sales(raw)), data.lookup(spark, sf_dir))
+    return enrich_stream(accepted(clean_sales(raw)), data.lookup(spark, sf_dir))
 
 
 def _report_run(report: DataFrame, folder: str, checkpoint: str) -> None:

@@ -268,11 +268,13 @@ def salted_join(
     salts: int = SALTS,
     share: float = HOT_SHARE,
     residual: Column | None = None,
+    hot: Sequence[tuple] | None = None,
 ) -> DataFrame:
     """Join as usual, but spread the left side's hot keys over ``salts`` partitions each.
 
-    Starts a job that finds the hot keys, fewer than ``1 / share``; if there are none, this is a
-    plain join. Only right rows of hot keys are repeated, once per salt. The salt comes from the
+    Unless given as ``hot``, the hot keys are found first, which starts a job; they are fewer
+    than ``1 / share``, and if there are none, this is a plain join. Given keys must all occur
+    on the left. Only right rows of hot keys are repeated, once per salt. The salt comes from the
     row and its input partition, so a retried task gives a row the same salt and copies of one
     row still spread. ``residual`` may test further columns of both sides by name; apart from
     the keys, the sides must not share column names.
@@ -286,7 +288,8 @@ def salted_join(
     if residual is not None and how in {"right", "full"}:
         raise ValueError(f"a {how} join takes no residual condition")
 
-    hot = [tuple(row) for row in hot_keys(left, keys, share).collect()]
+    if hot is None:
+        hot = [tuple(row) for row in hot_keys(left, keys, share).collect()]
     slot = F.xxhash64(*[_named(c) for c in left.columns], F.spark_partition_id())
     spread = left.withColumn(
         "_salt",

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.expressions import or_else, pieces
 from millrace.functions.fixed import UNMAPPED
+from millrace.scratch import cut_lineage
 
 
 def totals_by(frame: DataFrame, *keys: str, measure: str = "amount") -> DataFrame:
@@ -100,12 +101,14 @@ def calendar_totals(
 ) -> DataFrame:
     """Totals for every day between the first and the last, days without sales included.
 
-    Starts a job for the two end days; ``spark.range`` generates the days between them.
+    Starts a job: the daily totals are stored, their end days read back, and ``spark.range``
+    generates the days between.
     """
-    per_day = totals_by(
-        frame.withColumn("sale_date", F.to_date(time)), "sale_date", measure=measure
+    per_day = cut_lineage(
+        totals_by(frame.withColumn("sale_date", F.to_date(time)), "sale_date", measure=measure),
+        "per-day",
     )
-    ends = frame.agg(F.min(F.to_date(time)), F.max(F.to_date(time))).first()
+    ends = per_day.agg(F.min("sale_date"), F.max("sale_date")).first()
     days = (ends[1] - ends[0]).days + 1 if ends[0] is not None else 0
     start = F.lit(ends[0]).cast("date")
     calendar = frame.sparkSession.range(days).select(

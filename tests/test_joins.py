@@ -91,6 +91,11 @@ def test_salted_join_equals_plain(skewed, labels, how):
     assert not plain.isEmpty()
 
 
+def test_known_hot_keys_save_the_search(skewed, labels):
+    salted = joins.salted_join(skewed, labels, "key", "full", hot=[("hot",)])
+    assert quality.same_rows(salted, skewed.join(labels, "key", "full"))
+
+
 def test_salted_join_without_hot_keys_is_plain(skewed, labels):
     salted = joins.salted_join(skewed, labels, "key", share=0.9)
     assert "_right__salt" not in plan_text(salted).split("Join")[0]

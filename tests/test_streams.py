@@ -11,6 +11,7 @@ from millrace.sinks import streams as sinks
 from millrace.sinks.files import publish_arrival
 from millrace.sources.streams import arrivals, read_stream
 from millrace.streaming import event_time, runs
+from millrace.streaming.lookups import enrich_stream
 
 NOW = runs.AVAILABLE_NOW
 
@@ -119,7 +120,7 @@ def test_rate_source_with_a_processing_time_trigger(spark):
         _timed(spark), "rated", trigger={"processingTime": "1 second"}
     )
     try:
-        assert query.isActive and query in spark.streams.active
+        assert query.isActive and query.id in [q.id for q in spark.streams.active]
         assert not query.awaitTermination(4)
     finally:
         runs.stop_all(spark)
@@ -137,6 +138,25 @@ def test_finish_stops_a_query_that_does_not_end(spark):
     assert not query.isActive
 
 
+def test_a_lookup_too_large_to_copy_is_spread(spark, raw, products, landing):
+    lookup = cleaning.clean_lookup(products)
+    doubled = lookup.unionByName(lookup.where("category = 'tools'"))
+    for limits in ({}, {"max_rows": 1, "salts": 5}):
+        for side in (lookup, doubled):
+            good = cleaning.accepted(cleaning.clean_sales(arrivals(spark, landing, raw.schema)))
+            output = fresh_folder(spark, "labelled")
+            runs.finish(
+                sinks.to_files(
+                    enrich_stream(good, side, **limits),
+                    output,
+                    fresh_folder(spark, "checkpoint"),
+                    trigger=NOW,
+                )
+            )
+            batch = cleaning.accepted(cleaning.clean_sales(raw.where("sale_id < 'a5'")))
+            assert quality.same_rows(spark.read.parquet(output), joins.enrich(batch, side))
+
+
 def test_memory_table_and_drain(spark, raw, products, landing):
     query = sinks.to_memory(
         report_of(arrivals(spark, landing, raw.schema), products), "report_now", "complete"
@@ -151,24 +171,23 @@ def test_console_sink_runs(spark, raw, landing):
     runs.finish(sinks.to_console(arrivals(spark, landing, raw.schema), trigger=NOW))
 
 
-class LineWriter:
-    """Appends each row to a file per partition and batch."""
-
-    def __init__(self, folder):
-        self.folder = folder
+def test_row_writer(spark, raw, landing, tmp_path):
+    class LineWriter:
+        """Appends each row to a file per partition and batch."""
 
-    def open(self, partition_id, epoch_id):
-        self.file = open(f"{self.folder}/{epoch_id}-{partition_id}.jsonl", "w")
-        return True
+        def __init__(self, folder):
+            self.folder = folder
 
-    def process(self, row):
-        self.file.write(json.dumps(row.asDict()) + "\n")
+        def open(self, partition_id, epoch_id):
+            self.file = open(f"{self.folder}/{epoch_id}-{partition_id}.jsonl", "w")
+            return True
 
-    def close(self, error):
-        self.file.close()
+        def process(self, row):
+            self.file.write(json.dumps(row.asDict()) + "\n")
 
+        def close(self, error):
+            self.file.close()
 
-def test_row_writer(spark, raw, landing, tmp_path):
     stream = arrivals(spark, landing, raw.schema)
     runs.finish(
         sinks.to_row_writer(
