@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
+from millrace.operators.joins import HOT_SHARE, hot_keys, key_among
+from millrace.scratch import cut_lineage
+
+CHUNK_GAPS = 256
+
 
 def tumbling_counts(frame: DataFrame, time: str, size: str, *keys: str) -> DataFrame:
     """Rows per fixed window, and per key if any are named."""
@@ -37,28 +44,74 @@ def sliding_counts(frame: DataFrame, time: str, size: str, slide: str, *keys: st
     )
 
 
-def session_counts(frame: DataFrame, time: str, gap_seconds: int, *keys: str) -> DataFrame:
+def session_counts(
+    frame: DataFrame,
+    time: str,
+    gap_seconds: int,
+    *keys: str,
+    chunk_gaps: int = CHUNK_GAPS,
+    share: float = HOT_SHARE,
+) -> DataFrame:
     """Rows per session: a session ends once nothing came for longer than ``gap_seconds``.
 
-    Rows of one key within one gap-wide bucket always share a session, so each bucket shrinks to
-    its first and last time and its count before sessions are merged. A key then has at most one
-    row per bucket, however many events it holds.
+    Time is cut into chunks ``chunk_gaps`` gaps long, and sessions are built per key and chunk, so
+    the timeline of one busy key is spread over many tasks. Only sessions within a gap of a
+    chunk's ends, at most two per key and chunk, can go on in the next chunk and are merged again.
+
+    A key and chunk with more than ``share`` of all rows is packed first: rows within one
+    gap-wide bucket always share a session, so each bucket shrinks to one row before the shuffle.
+    Starts jobs: one looks for them, one stores the sessions of the chunks.
     """
-    buckets = frame.groupBy(*keys, F.window(time, f"{gap_seconds} seconds")).agg(
-        F.min(time).alias("first_at"), F.max(time).alias("last_at"), F.count(F.lit(1)).alias("n")
+    gap = gap_seconds * 1_000_000
+    width = F.lit(gap * chunk_gaps).cast("bigint")
+    rows = frame.where(F.col(time).isNotNull()).select(
+        *keys,
+        (_micros(time) - F.pmod(_micros(time), width)).alias("_chunk"),
+        F.col(time).alias("first_at"),
+        F.col(time).alias("last_at"),
+        F.lit(1).cast("bigint").alias("n"),
     )
-    span = F.unix_micros(F.col("last_at").cast("timestamp")) - F.unix_micros(
-        F.col("first_at").cast("timestamp")
+    parts = [*keys, "_chunk"]
+    crowded = [tuple(row) for row in hot_keys(rows, parts, share).collect()]
+    among = key_among(crowded, rows, parts)
+    quiet = rows.where(~among) if crowded else rows
+    session = F.session_window("first_at", f"{gap_seconds} seconds")
+    within = _spans(quiet.groupBy(*parts, session), parts)
+    if crowded:
+        bucket = F.window("first_at", f"{gap_seconds} seconds")
+        packed = _spans(rows.where(among).groupBy(*parts, bucket), parts)
+        within = within.unionByName(_merged(packed, gap, parts))
+
+    # Two readers follow; without a stored copy each would sort and merge all rows again.
+    stored = cut_lineage(within, "sessions")
+    start = F.col("_chunk")
+    at_an_end = (_micros("first_at") - start <= gap) | (start + width - _micros("last_at") <= gap)
+    whole = stored.where(~at_an_end).drop("_chunk")
+    joined = _merged(stored.where(at_an_end), gap, keys)
+    return whole.unionByName(joined).select(
+        F.col("first_at").alias("session_start"),
+        (F.col("last_at") + F.make_dt_interval(secs=F.lit(gap_seconds))).alias("session_end"),
+        *keys,
+        F.col("n").alias("events"),
     )
-    seconds = (span + F.lit(gap_seconds * 1_000_000)).cast("decimal(20,0)") / F.lit(1_000_000)
-    reach = F.make_interval(secs=seconds.cast("decimal(18,6)"))
-    return (
-        buckets.groupBy(*keys, F.session_window("first_at", reach))
-        .agg(F.sum("n").alias("events"))
-        .select(
-            F.col("session_window.start").alias("session_start"),
-            F.col("session_window.end").alias("session_end"),
-            *keys,
-            "events",
-        )
+
+
+def _micros(time: str) -> Column:
+    return F.unix_micros(F.col(time).cast("timestamp"))
+
+
+def _spans(grouped: GroupedData, keys: Sequence[str]) -> DataFrame:
+    return grouped.agg(
+        F.min("first_at").alias("first_at"),
+        F.max("last_at").alias("last_at"),
+        F.sum("n").alias("n"),
+    ).select(*keys, "first_at", "last_at", "n")
+
+
+def _merged(spans: DataFrame, gap: int, keys: Sequence[str]) -> DataFrame:
+    """Spans of a key that lie no more than the gap apart become one."""
+    reach = (_micros("last_at") - _micros("first_at") + F.lit(gap)).cast("decimal(20,0)")
+    seconds = (reach / F.lit(1_000_000)).cast("decimal(18,6)")
+    return _spans(
+        spans.groupBy(*keys, F.session_window("first_at", F.make_interval(secs=seconds))), keys
     )

@@ -47,11 +47,14 @@ def follow_ups(
     they meet exactly once, and the rows of one busy key spread over many partitions.
     """
 
+    span = F.lit(within_seconds * 1_000_000).cast("bigint")
+
     def slot(column: Column) -> Column:
-        return F.floor(F.unix_micros(column) / F.lit(within_seconds * 1_000_000)).cast("bigint")
+        at = F.unix_micros(column)
+        return at - F.pmod(at, span)
 
     own = slot(F.col(first_time))
-    openers = first.withColumn("_slot", F.explode(F.array(own, own + 1)))
+    openers = first.withColumn("_slot", F.explode(F.array(own, own + span)))
     closers = second.withColumn("_closer_slot", slot(F.col(second_time))).withColumnRenamed(
         on, "_closer_key"
     )

@@ -2,6 +2,7 @@ import random
 from datetime import date, datetime, timedelta
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import cleaning, joins, reports, windows
@@ -98,15 +99,27 @@ def _sessions_by_hand(rows, gap):
     return sorted(sessions)
 
 
-def test_sessions_equal_brute_force(spark):
-    for seed, gap in ((1, 60), (2, 600), (3, 1800), (4, 7)):
-        rows = _events(seed, 600)
+@pytest.mark.parametrize("chunk_gaps", [1, 3, 256])
+@pytest.mark.parametrize("share", [0.02, 0.999])
+def test_sessions_equal_brute_force(spark, chunk_gaps, share):
+    for seed, gap in ((1, 60), (2, 600), (3, 7)):
+        rows = _events(seed, 400)
         frame = spark.createDataFrame(rows, "user_id INT, ts TIMESTAMP_NTZ").repartition(5)
-        found = windows.session_counts(frame, "ts", gap, "user_id").collect()
+        found = windows.session_counts(
+            frame, "ts", gap, "user_id", chunk_gaps=chunk_gaps, share=share
+        ).collect()
         got = sorted((r.user_id, r.session_start, r.session_end, r.events) for r in found)
         assert got == _sessions_by_hand(rows, timedelta(seconds=gap))
 
 
+def test_sessions_without_a_key(spark):
+    rows = [(1, t) for _, t in _events(8, 200)]
+    frame = spark.createDataFrame([(t,) for _, t in rows] + [(None,)], "ts TIMESTAMP_NTZ")
+    found = windows.session_counts(frame, "ts", 120, chunk_gaps=4).collect()
+    got = sorted((1, r.session_start, r.session_end, r.events) for r in found)
+    assert got == _sessions_by_hand(rows, timedelta(seconds=120))
+
+
 def test_a_pause_of_exactly_the_gap_keeps_a_session(spark):
     start = datetime(2031, 5, 1)
     rows = [(1, start), (1, start + timedelta(seconds=60)), (2, start), (2, start + timedelta(seconds=61))]
