@@ -156,8 +156,8 @@ def report_with_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def few_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The daily report stored in at most two files, which is checked on what was stored."""
-    report = daily_report_by_row(spark, sf_dir)
+    """The daily report stored in two files, which is checked on what was stored."""
+    report = daily_report(spark, sf_dir)
     folder = files.write_in_files(report, fresh_folder(spark, "few"), 2)
     stored = tables.read_parquet(spark, folder)
     return stored.select(F.input_file_name().alias("file")).agg(

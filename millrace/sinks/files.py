@@ -40,12 +40,13 @@ def write_csv(frame: DataFrame, path: str) -> str:
 
 
 def write_in_files(frame: DataFrame, path: str, files: int) -> str:
-    """Write at most ``files`` files by merging partitions, without a shuffle.
+    """Write a small report in exactly this many files.
 
-    That many tasks also do the work above the merge, so keep it to reports that are already
-    small; for large tables let the input decide or set ``maxRecordsPerFile``.
+    The result is redistributed after it is computed, so the work above keeps all its tasks
+    (merging partitions instead would leave that work to as many tasks as there are files). For
+    large tables let the input decide the number of files, or set ``maxRecordsPerFile``.
     """
-    return write_once(frame.coalesce(files), path)
+    return write_once(frame.repartition(files), path)
 
 
 def publish_arrival(frame: DataFrame, landing: str, name: str) -> str:
