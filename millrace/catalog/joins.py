@@ -81,7 +81,7 @@ def join_band_binned(spark: SparkSession, sf_dir: str) -> DataFrame:
     bands = hours.where(F.col("purchases") > F.col("clicks")).select(
         F.unix_micros(F.col("hour.start").cast("timestamp")).alias("lower"),
         F.unix_micros(F.col("hour.end").cast("timestamp")).alias("upper"),
-        "purchases",
+        F.col("purchases").cast("double"),
     )
     rows = events.select("event_id", "at")
     stored = cut_lineage(bands, "busy-hours")
@@ -93,8 +93,8 @@ def join_band_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = data.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     sizes = data.table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("l_partkey"),
-        F.lit(1).alias("lower"),
-        F.col("p_size").alias("upper"),
+        F.lit(1.0).alias("lower"),
+        F.col("p_size").cast("double").alias("upper"),
     )
     return joins.keyed_range_join(items, sizes, "l_partkey", "l_quantity", "lower", "upper")
 
@@ -210,10 +210,11 @@ ON o_totalprice >= lower AND o_totalprice < upper""",
   SELECT time_bucket(INTERVAL 1 HOUR, ts) AS h,
     count(*) FILTER (WHERE event_type = 'purchase') AS purchases,
     count(*) FILTER (WHERE event_type = 'click') AS clicks FROM events GROUP BY 1)
-SELECT event_id, epoch_us(ts) AS at, purchases FROM events
+SELECT event_id, epoch_us(ts) AS at, CAST(purchases AS DOUBLE) AS purchases FROM events
 LEFT JOIN hours ON ts >= h AND ts < h + INTERVAL 1 HOUR AND purchases > clicks""",
     "join_band_keyed": """SELECT l_orderkey, l_partkey, l_quantity,
-  CASE WHEN p_partkey IS NOT NULL THEN 1 END AS lower, p_size AS upper
+  CASE WHEN p_partkey IS NOT NULL THEN CAST(1 AS DOUBLE) END AS lower,
+  CAST(p_size AS DOUBLE) AS upper
 FROM lineitem LEFT JOIN part
 ON l_partkey = p_partkey AND l_quantity >= 1 AND l_quantity < p_size""",
     "join_effective": with_sales(

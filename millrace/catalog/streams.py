@@ -236,25 +236,30 @@ def win_sliding_update(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_stream_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Purchases within an hour after a click of the same user."""
-    landing, output = fresh_folder(spark, "events"), fresh_folder(spark, "follow-ups")
-    checkpoint = fresh_folder(spark, "checkpoint")
-    for number, rows in enumerate(data.event_arrivals(spark, sf_dir), 1):
-        publish_arrival(rows, landing, f"{number:02d}")
-        events = _event_stream(spark, landing)
-        clicks = events.where(F.col("event_type") == "click").select(
-            "user_id", F.col("event_id").alias("click_id"), F.col("ts").alias("clicked_at")
-        )
-        purchases = events.where(F.col("event_type") == "purchase").select(
-            "user_id", F.col("event_id").alias("purchase_id"), F.col("ts").alias("bought_at")
-        )
-        pairs = event_time.follow_ups(
-            clicks, purchases, "user_id", "clicked_at", "bought_at", FOLLOW_UP_SECONDS
-        )
-        finish(sinks.to_files(pairs, output, checkpoint, trigger=AVAILABLE_NOW))
+    """Purchases within an hour after a click of the same user; clicks wait in state over a restart."""
+    output, checkpoint = fresh_folder(spark, "follow-ups"), fresh_folder(spark, "checkpoint")
+    *earlier, last = data.event_arrivals(spark, sf_dir)
+    landing = data.land(spark, earlier, "events")
+    _run_follow_ups(spark, landing, output, checkpoint)
+    publish_arrival(last, landing, "last")
+    _run_follow_ups(spark, landing, output, checkpoint)
     return spark.read.parquet(output)
 
 
+def _run_follow_ups(spark: SparkSession, landing: str, output: str, checkpoint: str) -> None:
+    events = _event_stream(spark, landing)
+    clicks = events.where(F.col("event_type") == "click").select(
+        "user_id", F.col("event_id").alias("click_id"), F.col("ts").alias("clicked_at")
+    )
+    purchases = events.where(F.col("event_type") == "purchase").select(
+        "user_id", F.col("event_id").alias("purchase_id"), F.col("ts").alias("bought_at")
+    )
+    pairs = event_time.follow_ups(
+        clicks, purchases, "user_id", "clicked_at", "bought_at", FOLLOW_UP_SECONDS
+    )
+    finish(sinks.to_files(pairs, output, checkpoint, trigger=AVAILABLE_NOW))
+
+
 QUERIES = {
     "stream_report": stream_report,
     "stream_restart": stream_restart,

@@ -248,6 +248,8 @@ def hot_keys(rows: DataFrame, on: str | list[str], share: float = HOT_SHARE) ->
     shuffled. It misses no key above seven in ``tracked`` of the rows, which is below ``share``,
     and what it finds is then counted exactly.
     """
+    if not 1e-5 <= share < 1:
+        raise ValueError("share must be at least 0.00001 and below 1")
     keys = [on] if isinstance(on, str) else list(on)
     listed, tracked = math.ceil(2 / share), max(10_000, math.ceil(8 / share))
     digest = F.xxhash64(*[_named(k) for k in keys])

@@ -143,10 +143,25 @@ def test_hot_keys(spark, skewed):
     assert {r[0] for r in joins.hot_keys(skewed, "key", 0.1).collect()} == {"hot", None}
     assert joins.hot_keys(skewed, "key", 0.5).isEmpty()
     assert joins.hot_keys(skewed.where("false"), "key").isEmpty()
+    for share in (0, 1, 1e-6):
+        with pytest.raises(ValueError, match="share"):
+            joins.hot_keys(skewed, "key", share)
     one = spark.createDataFrame([("a",)] * 3, "key STRING")
     assert [r[0] for r in joins.hot_keys(one, "key", 0.99).collect()] == ["a"]
 
 
+def test_hot_keys_among_very_many(spark):
+    """Far more keys than the sketch tracks; the two frequent ones are found, and no others."""
+    many = spark.range(300_000).select(
+        F.when(F.col("id") % 20 == 0, F.lit(-1))
+        .when(F.col("id") % 25 == 1, F.lit(-2))
+        .otherwise(F.col("id"))
+        .alias("key")
+    )
+    assert {r.key for r in joins.hot_keys(many, "key", 0.03).collect()} == {-1, -2}
+    assert {r.key for r in joins.hot_keys(many, "key", 0.045).collect()} == {-1}
+
+
 def _by_hand(values, bands):
     pairs = []
     for number, value in values:
