@@ -127,10 +127,8 @@ def event_arrivals(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     ).first()
     step = (ends["last"] - ends["first"]) // 3 + 1
     at: Column = F.unix_micros("ts")
-    bounds = [ends["first"] + step * i for i in range(4)]
-    return [
-        events.where((at >= low) & (at < high)) for low, high in zip(bounds, bounds[1:], strict=False)
-    ]
+    bounds = [ends["first"] + step * i for i in range(3)]
+    return [events.where((at >= low) & (at < low + step)) for low in bounds]
 
 
 def land(spark: SparkSession, slices: list[DataFrame], purpose: str) -> str:

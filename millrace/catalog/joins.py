@@ -66,7 +66,7 @@ def join_band(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prices outside all bands keep one row, prices in two bands get two."""
     orders = data.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
     bands = literal_rows(spark, BANDS, BANDS_DDL)
-    return joins.band_join(orders, bands, "o_totalprice").select("o_orderkey", "o_totalprice", "band")
+    return joins.band_join(orders, bands, "o_totalprice").drop("lower", "upper")
 
 
 def join_band_binned(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -236,7 +236,7 @@ def win_sliding_update(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_stream_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Purchases within an hour after a click of the same user; clicks wait in state over a restart."""
+    """Purchases within an hour after a click of the same user. Clicks outlast a restart in state."""
     output, checkpoint = fresh_folder(spark, "follow-ups"), fresh_folder(spark, "checkpoint")
     *earlier, last = data.event_arrivals(spark, sf_dir)
     landing = data.land(spark, earlier, "events")

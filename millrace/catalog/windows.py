@@ -25,7 +25,8 @@ def win_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def win_session(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sessions = windows.session_counts(data.table(spark, sf_dir, "events"), "ts", 8 * 3600, "user_id")
+    events = data.table(spark, sf_dir, "events")
+    sessions = windows.session_counts(events, "ts", 8 * 3600, "user_id")
     return sessions.select(
         F.col("session_start").alias("window_start"),
         F.col("session_end").alias("window_end"),

@@ -44,5 +44,5 @@ def or_else(column: Column, label: str = UNMAPPED) -> Column:
 
 
 def pieces(column: Column, separator: str) -> Column:
-    """One row per piece of a delimited text. The separator is literal, so a pipe needs no escape."""
+    """One row per piece of a delimited text. The separator is literal: a pipe needs no escape."""
     return F.explode(F.split(column, re.escape(separator)))

@@ -88,5 +88,5 @@ def reshape_columns(
     rename: Mapping[str, str] | None = None,
     drop: Sequence[str] = (),
 ) -> DataFrame:
-    """A derived projection: add, then rename, then drop. Row count and input frame are unchanged."""
+    """A derived projection: add, then rename, then drop. The rows and the input are unchanged."""
     return frame.withColumns(dict(add or {})).withColumnsRenamed(dict(rename or {})).drop(*drop)

@@ -110,7 +110,7 @@ def population(before: DataFrame, after: DataFrame, key: str = "sale_id") -> Dat
         F.count_if(F.col("n_after") == 0).alias("lost_keys"),
         F.count_if(F.col("n_before") == 0).alias("invented_keys"),
         F.count_if(
-            (F.col("n_before") > 0) & (F.col("n_after") > 0) & (F.col("n_before") != F.col("n_after"))
+            (F.least("n_before", "n_after") > 0) & (F.col("n_before") != F.col("n_after"))
         ).alias("recounted_keys"),
     )
 

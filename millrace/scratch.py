@@ -1,4 +1,4 @@
-"""Where a run keeps what it must write and read again: checkpoints, landing folders, round trips."""
+"""Where a run keeps what it must write and read again: checkpoints, landings, round trips."""
 
 from __future__ import annotations
 

@@ -32,7 +32,9 @@ def enrich_stream(
 
     AQE leaves stream batches alone, so skew is settled when the query is defined: a lookup that
     measures small is broadcast, and beside a larger one every key's rows are spread over
-    ``salts`` partitions, with the lookup repeated for each.
+    ``salts`` partitions, with the lookup repeated for each. A lookup that has outgrown the bound
+    by the next start changes the plan, though not its result or its state; ``max_rows=0`` fixes
+    the choice where ``require_boundary`` compares plans.
     """
     pairs = lookup.select(on, label)
     if fits_broadcast(pairs, max_rows, max_bytes):

@@ -70,7 +70,9 @@ def require_boundary(stream: DataFrame, folder: str, after: int) -> None:
     notes = stream.sparkSession.read.schema("arrival INT, fingerprint STRING").json(
         f"{folder}/boundary/*"
     )
-    last = notes.agg(F.max_by(F.struct("arrival", "fingerprint"), "arrival").alias("n")).first()["n"]
+    last = notes.agg(
+        F.max("arrival").alias("arrival"), F.max_by("fingerprint", "arrival").alias("fingerprint")
+    ).first()
     if last["arrival"] != after:
         raise ValueError(f"the stream was left after arrival {last['arrival']}, not {after}")
     if last["fingerprint"] != plan_fingerprint(stream):
