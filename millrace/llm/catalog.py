@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import packing, substrings
+from millrace.llm import bpe, packing, substrings
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,9 +17,17 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encoded(documents(spark, sf_dir))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
 
-QUERIES = {"op1_substring_dedup": op1_substring_dedup, "op8_packing": op8_packing}
+QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
+    "op3_bpe": op3_bpe,
+    "op8_packing": op8_packing,
+}
 SQL: dict[str, str] = {}
