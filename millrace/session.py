@@ -15,6 +15,8 @@ SETTINGS = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Rows handed to Python at a time: a batch of long texts must fit in a worker.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     # Merge a busy key's rows into sessions before they are shuffled.
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
