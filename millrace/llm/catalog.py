@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import bpe, packing, substrings
+from millrace.llm import bpe, language, packing, secrets, substrings
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,17 +17,27 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(documents(spark, sf_dir), carry=("doc_id",))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded(documents(spark, sf_dir))
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.predict(documents(spark, sf_dir), carry=("doc_id",))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_secret_scan": op2_secret_scan,
     "op3_bpe": op3_bpe,
     "op8_packing": op8_packing,
+    "op9_language": op9_language,
 }
 SQL: dict[str, str] = {}
