@@ -23,7 +23,7 @@ BLOCK_BYTES = 4 << 20
 BUCKET_KEYS = 1_500_000
 PIECE = "block int, bucket int, n int, keys binary, numbers binary"
 ANSWER = "block int, bucket int, n int, answers binary"
-_DELTA_SCHEMA = pa.schema(
+_PIECE_SCHEMA = pa.schema(
     [("block", pa.int32()), ("bucket", pa.int32()), ("n", pa.int32()), ("keys", pa.binary()),
      ("numbers", pa.binary())]
 )
@@ -66,22 +66,22 @@ def grouped_min(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.nd
     return keys[head], values[head]
 
 
-def ask(
-    blocks: DataFrame,
-    total: int,
-    keys: Keys,
-    combine: Combine,
-    drop_bits: int = 0,
-) -> DataFrame:
-    """The answers for each block, as ``ANSWER``.
+def ask(blocks: DataFrame, total: int, keys: Keys, combine: Combine, drop_bits: int = 0) -> DataFrame:
+    """The answers for each block, as ``ANSWER``; see ``pieces_of`` and ``answered``."""
+    return answered(pieces_of(blocks, total, keys, drop_bits), total, combine)
 
-    ``keys`` gives a block's distinct unsigned 64-bit keys, sorted, and a number each; ``combine``
-    takes all keys of a bucket in key order with their numbers and gives an answer for each row.
-    ``total`` sizes the buckets. Keys below ``drop_bits`` bits must be zero above: the bucket is
-    found in the ``64 - drop_bits`` lowest bits.
+
+def bucket_count(total: int) -> int:
+    return max(16, total // 5 // BUCKET_KEYS)
+
+
+def pieces_of(blocks: DataFrame, total: int, keys: Keys, drop_bits: int = 0) -> DataFrame:
+    """Each block's keys, cut by key range into pieces, as ``PIECE``.
+
+    ``keys`` gives a block's distinct unsigned keys of ``64 - drop_bits`` bits, sorted, and a number
+    each. ``total``, the bytes of all texts, sizes the buckets.
     """
-    n_blocks = max(1, -(-total // BLOCK_BYTES))
-    buckets = max(16, total // 5 // BUCKET_KEYS)
+    buckets = bucket_count(total)
     width = (1 << (64 - drop_bits)) // buckets
     bounds = np.array([width * i for i in range(1, buckets)], dtype=np.uint64)
 
@@ -95,18 +95,32 @@ def ask(
                 part = found[low:high].copy()
                 part[1:] -= found[low : high - 1]
                 rows.append((block, bucket, high - low, pack(part), pack(numbers[low:high])))
-        columns = zip(*rows, strict=True) if rows else [[] for _ in _DELTA_SCHEMA]
-        return pa.table([pa.array(list(c), f.type) for c, f in zip(columns, _DELTA_SCHEMA, strict=True)], _DELTA_SCHEMA)
+        columns = zip(*rows, strict=True) if rows else [[] for _ in _PIECE_SCHEMA]
+        return pa.table([pa.array(list(c), f.type) for c, f in zip(columns, _PIECE_SCHEMA, strict=True)], _PIECE_SCHEMA)
+
+    return blocks.groupBy("block").applyInArrow(cut, PIECE).repartition(buckets, "bucket")
+
+
+def opened(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All keys and numbers of a bucket's pieces, one piece after the other, and where each starts."""
+    edges = np.concatenate(([0], np.cumsum(table["n"].to_numpy())))
+    every = np.empty(edges[-1], dtype=np.uint64)
+    numbers = np.empty(edges[-1], dtype=np.int64)
+    for packed, values, low, high in zip(table["keys"], table["numbers"], edges[:-1], edges[1:], strict=True):
+        np.cumsum(unpack(packed.as_py(), high - low, np.uint64), out=every[low:high])
+        numbers[low:high] = unpack(values.as_py(), high - low)
+    return every, numbers, edges
+
+
+def answered(pieces: DataFrame, total: int, combine: Combine) -> DataFrame:
+    """The answers to all pieces, dealt like the blocks.
+
+    ``combine`` takes all keys of a bucket in key order with their numbers, and gives an answer for
+    each row.
+    """
 
     def answer(table: pa.Table) -> pa.Table:
-        sizes = table["n"].to_numpy()
-        edges = np.concatenate(([0], np.cumsum(sizes)))
-        every = np.empty(edges[-1], dtype=np.uint64)
-        numbers = np.empty(edges[-1], dtype=np.int64)
-        pieces = zip(table["keys"], table["numbers"], edges[:-1], edges[1:], strict=True)
-        for packed, values, low, high in pieces:
-            np.cumsum(unpack(packed.as_py(), high - low, np.uint64), out=every[low:high])
-            numbers[low:high] = unpack(values.as_py(), high - low)
+        every, numbers, edges = opened(table)
         order = np.argsort(every, kind="stable")
         replies = np.empty(len(every), dtype=np.int64)
         replies[order] = combine(every[order], numbers[order])
@@ -114,7 +128,7 @@ def ask(
         columns = [table["block"], table["bucket"], table["n"], pa.array(packed, pa.binary())]
         return pa.table([c.cast(f.type) for c, f in zip(columns, _ANSWER_SCHEMA, strict=True)], _ANSWER_SCHEMA)
 
-    pieces = blocks.groupBy("block").applyInArrow(cut, PIECE).repartition(buckets, "bucket")
+    n_blocks = max(1, -(-total // BLOCK_BYTES))
     return pieces.groupBy("bucket").applyInArrow(answer, ANSWER).repartition(n_blocks, "block")
 
 
@@ -135,3 +149,9 @@ def group_heads(keys: np.ndarray) -> np.ndarray:
 def spread(per_group: np.ndarray, heads: np.ndarray, n: int) -> np.ndarray:
     """A value per group, repeated for each of its rows."""
     return np.repeat(per_group, np.diff(np.append(heads, n)))
+
+
+def sum_by_key(keys: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    """For each row of sorted keys, the sum over its key."""
+    heads = group_heads(keys)
+    return spread(np.add.reduceat(numbers, heads), heads, len(keys)) if len(keys) else numbers

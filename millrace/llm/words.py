@@ -40,9 +40,10 @@ def powers(base: int, n: int) -> np.ndarray:
 
 class Words:
     """``data``: all texts' UTF-8 bytes, each followed by a line feed. ``start``/``end``: the words'
-    places in it. ``first``: number of words before each text, and of all. A null text is empty."""
+    places in it. ``first``: number of words before each text, and of all. A null text is empty;
+    with ``lower`` A to Z are lower-cased."""
 
-    def __init__(self, texts: pa.Array | pa.ChunkedArray):
+    def __init__(self, texts: pa.Array | pa.ChunkedArray, lower: bool = False):
         if isinstance(texts, pa.ChunkedArray):
             texts = texts.combine_chunks()
         raw = pc.binary_join_element_wise(
@@ -57,6 +58,8 @@ class Words:
         self.offset = offsets if len(raw) else np.zeros(1, dtype=np.int64)
         self.data = np.zeros(0, np.uint8) if empty else np.frombuffer(raw.buffers()[2], np.uint8)
         self.data = self.data[: self.offset[-1]]
+        if lower:
+            self.data = self.data + ((self.data >= 65) & (self.data <= 90)).astype(np.uint8) * np.uint8(32)
         space = SPACE[self.data]
         before = np.ones(len(space), dtype=bool)
         before[1:] = space[:-1]
