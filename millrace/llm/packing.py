@@ -30,6 +30,7 @@ END_ID = 1
 SEQUENCE = 2048
 SPAN = 256  # sequences
 QUEUES = 256
+BROADCAST_ROWS = 200_000  # one per chunk of input and queue, 24 bytes each
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long,"
     " source string"
@@ -182,9 +183,12 @@ def pack(
     tokens = tokenized(narrow, path, names, end_id)
     sums = tokens.groupBy("queue", "chunk").agg(F.sum("n").alias("drawn"))
     before = Window.partitionBy("queue").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    bases = sums.select(
-        "queue", "chunk", F.coalesce(F.sum("drawn").over(before), F.lit(0)).alias("base")
+    bases = cut_lineage(
+        sums.select("queue", "chunk", F.coalesce(F.sum("drawn").over(before), F.lit(0)).alias("base")),
+        "bases",
     )
+    if bases.count() <= BROADCAST_ROWS:  # else a shuffled join
+        bases = F.broadcast(bases)
     totals = [0] * (len(names) + 1)
     for row in tokens.groupBy("queue").agg(F.sum("n").alias("n")).collect():
         totals[row["queue"]] = row["n"]
