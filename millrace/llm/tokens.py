@@ -12,10 +12,11 @@ from __future__ import annotations
 import functools
 import os
 import re
+from collections.abc import Iterator
 
 import numpy as np
 
-KNOWN = 400_000
+KNOWN = 600_000
 #: White space, printable ASCII and Latin letters up to U+024F, without the one that lower-cases to two.
 UNUSUAL = re.compile(r"[^\t\n\r\x20-\x7e\xa1-įı-ɏ]|<\|")
 #: The word tokenizer's own pattern, for plain lower-case text.
@@ -39,6 +40,14 @@ def library(path: str):
     return loaded
 
 
+def _gaps(ids: list[bytes | None]) -> Iterator[int]:
+    """Where a list has None."""
+    at = -1
+    for _ in range(ids.count(None)):
+        at = ids.index(None, at + 1)
+        yield at
+
+
 class WordIds:
     """Encodes texts to little-endian unsigned 16-bit ids (the vocabulary has fewer than 65,536)."""
 
@@ -53,15 +62,18 @@ class WordIds:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         cut = [None if t is None or UNUSUAL.search(t) else PIECES.findall(t.lower()) for t in texts]
         known = self.known
-        missing = {p for pieces in cut if pieces for p in pieces if p not in known}
+        got = [pieces and [*map(known.get, pieces)] for pieces in cut]
+        missing = {pieces[i] for pieces, ids in zip(cut, got, strict=True) if ids for i in _gaps(ids)}
         found = self.fresh(list(missing))
         for piece in list(found)[: max(0, KNOWN - len(known))]:
             known[piece] = found[piece]
         out = []
-        for text, pieces in zip(texts, cut, strict=True):
-            if pieces is not None:
-                out.append(b"".join([known.get(p) or found[p] for p in pieces]))
-            elif text:
+        for text, pieces, ids in zip(texts, cut, got, strict=True):
+            if ids:
+                for i in _gaps(ids):
+                    ids[i] = found[pieces[i]]
+                out.append(b"".join(ids))
+            elif text and pieces is None:
                 out.append(self.fresh([text])[text])
             else:
                 out.append(b"")
