@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import bpe, language, neardup, packing, recurrent, secrets, substrings
+from millrace.llm import bpe, language, neardup, packing, recurrent, secrets, sharding, substrings
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded(documents(spark, sf_dir))
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.by_equal_texts(documents(spark, sf_dir))
+
+
 def op5_recurrent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recurrent.scores(documents(spark, sf_dir))
 
@@ -45,6 +49,7 @@ QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_secret_scan": op2_secret_scan,
     "op3_bpe": op3_bpe,
+    "op4_sharding": op4_sharding,
     "op5_recurrent_scores": op5_recurrent_scores,
     "op6_minhash_dedup": op6_minhash_dedup,
     "op8_packing": op8_packing,
