@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import bpe, language, neardup, packing, recurrent, secrets, sharding, substrings
+from millrace.llm import bpe, hamming, language, neardup, packing, recurrent, secrets, sharding, substrings
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+
+
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(
         documents(spark, sf_dir), results=("n_words", "n_removed", "kept_sha256"), carry=("doc_id",)
@@ -37,6 +41,10 @@ def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.classes(documents(spark, sf_dir))
 
 
+def op7_quantised_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hamming.near_vectors(embeddings(spark, sf_dir))
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(documents(spark, sf_dir), carry=("doc_id",))
 
@@ -52,6 +60,7 @@ QUERIES = {
     "op4_sharding": op4_sharding,
     "op5_recurrent_scores": op5_recurrent_scores,
     "op6_minhash_dedup": op6_minhash_dedup,
+    "op7_quantised_dedup": op7_quantised_dedup,
     "op8_packing": op8_packing,
     "op9_language": op9_language,
 }
