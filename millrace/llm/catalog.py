@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import bpe, hamming, language, neardup, packing, recurrent, secrets, sharding, substrings
+import corpus_pipeline
+from millrace.llm import bpe, hamming, language, neardup, neighbours, packing, recurrent, secrets, sharding, substrings
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,6 +46,10 @@ def op7_quantised_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hamming.near_vectors(embeddings(spark, sf_dir))
 
 
+def op10_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(embeddings(spark, sf_dir))
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(documents(spark, sf_dir), carry=("doc_id",))
 
@@ -63,5 +68,10 @@ QUERIES = {
     "op7_quantised_dedup": op7_quantised_dedup,
     "op8_packing": op8_packing,
     "op9_language": op9_language,
+    "op10_nn_descent": op10_nn_descent,
+    "pipeline": corpus_pipeline.run,
 }
+#: No row of these results can be had from SQL: hashes of tokens and words, learnt models, moves.
 SQL: dict[str, str] = {}
+if corpus_pipeline.ORACLE_SQL:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
