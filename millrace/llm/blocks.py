@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 BUCKET_KEYS = 1_500_000
 PIECE = "block int, bucket int, n int, keys binary, numbers binary"
 ANSWER = "block int, bucket int, n int, answers binary"

@@ -54,7 +54,10 @@ class Mixture:
         return np.floor(self.exact(queue, span)).astype(np.int64)
 
     def exact(self, queue: int, span: np.ndarray) -> np.ndarray:
-        return np.interp(np.asarray(span) * float(self.step), self.time, self.due[queue])
+        return self.at(queue, np.asarray(span) * float(self.step))
+
+    def at(self, queue: int, time: np.ndarray) -> np.ndarray:
+        return np.interp(time, self.time, self.due[queue])
 
     def span_of(self, queue: int, position: np.ndarray) -> np.ndarray:
         """The span that takes a queue's token: the last whose start is at or before it."""
@@ -92,17 +95,17 @@ def mixture(totals: list[int], weights: list[float], step: int) -> Mixture:
     return Mixture(np.array(time), np.array(due).T, step)
 
 
-def quotas(sizes: np.ndarray, amounts: np.ndarray, deficit: np.ndarray) -> np.ndarray:
+def quotas(sizes: np.ndarray, due: np.ndarray, amounts: np.ndarray, deficit: np.ndarray) -> np.ndarray:
     """Tokens of each queue (columns) in each window (rows), by deficit round-robin.
 
-    A window of ``sizes[w]`` tokens takes just that many; all windows take just ``amounts``.
+    ``due`` is what each window adds to the deficits. A window of ``sizes[w]`` tokens takes just that
+    many; all windows take just ``amounts``.
     """
     out = np.zeros((len(sizes), len(amounts)), dtype=np.int64)
     left = amounts.astype(np.int64)
-    share = amounts / max(1, amounts.sum())
     deficit = deficit.astype(float)
     for w, size in enumerate(sizes):
-        deficit += share * size
+        deficit += due[w]
         take = np.minimum(np.maximum(np.floor(deficit + 1e-9), 0).astype(np.int64), left)
         over = int(take.sum() - size)
         order = np.argsort(-(deficit - take), kind="stable")
@@ -261,7 +264,10 @@ def _layout(plan: Mixture, names: list[str | None], sequence: int, with_ids: boo
         origin, size = int(begun.sum()), int(amounts.sum())
         inner = np.arange(origin // sequence + 1, -(-(origin + size) // sequence)) * sequence
         edges = np.unique(np.concatenate(([origin], inner, [origin + size])))
-        share = quotas(np.diff(edges), amounts, deficit)
+        time = np.clip(edges, span * plan.step, (span + 1) * plan.step)
+        time[0], time[-1] = span * plan.step, (span + 1) * plan.step
+        due = np.diff(np.array([plan.at(q, time) for q in queues]), axis=1).T
+        share = quotas(np.diff(edges), due, amounts, deficit)
         ahead = np.cumsum(share, axis=1) - share
         drawn = np.vstack((np.zeros_like(amounts), np.cumsum(share, axis=0)))
         queue, position = table["queue"].to_numpy(), table["position"].to_numpy()

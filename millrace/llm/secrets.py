@@ -38,8 +38,9 @@ DIGIT = np.zeros(256, dtype=bool)
 DIGIT[list(b"0123456789")] = True
 LETTER = np.zeros(256, dtype=bool)
 LETTER[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")] = True
-PRIOR = 20.0  # pseudo-counts per character, spread evenly over the next one
-LENGTH, TOTAL, MEAN = 20, 20.0, 0.6
+EVEN = 20.0  # pseudo-counts of the random model per character, spread evenly over the next one
+USUAL = 500.0  # of the ordinary model, spread as characters are in general
+LENGTH, TOTAL, MEAN = 20, 20.0, 1.75
 ROWS = 128
 Span = tuple[int, int, int, int, int]  # start, kind, end, secret's start, secret's end
 
@@ -105,10 +106,12 @@ def _without(text: str, spans: list[Span]) -> str:
 
 def ratios(counts: np.ndarray) -> np.ndarray:
     """Log-likelihood ratio, random against ordinary, of each step inside a token; 0 elsewhere."""
-    inside = counts[:, :, 1:] + PRIOR / (SYMBOLS - 1)
-    shares = inside / inside.sum(axis=2, keepdims=True)
+    ordinary, random = counts[0, :, 1:], counts[1, :, 1:] + EVEN / (SYMBOLS - 1)
+    usual = ordinary.sum(axis=0) + 1
+    ordinary = ordinary + USUAL * usual / usual.sum()
     out = np.zeros((SYMBOLS, SYMBOLS))
-    out[:, 1:] = np.log(shares[1]) - np.log(shares[0])
+    out[:, 1:] = np.log(random / random.sum(axis=1, keepdims=True))
+    out[:, 1:] -= np.log(ordinary / ordinary.sum(axis=1, keepdims=True))
     return out.ravel()
 
 

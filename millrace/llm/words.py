@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 _BASE, _STEP, _SALT = 0x9E3779B97F4A7C55, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _S33 = np.uint64(33)
