@@ -40,7 +40,7 @@ LETTER = np.zeros(256, dtype=bool)
 LETTER[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")] = True
 EVEN = 20.0  # pseudo-counts of the random model per character, spread evenly over the next one
 USUAL = 500.0  # of the ordinary model, spread as characters are in general
-LENGTH, TOTAL, MEAN = 20, 20.0, 1.75
+LENGTH, TOTAL, MEAN = 20, 20.0, 1.1
 ROWS = 128
 Span = tuple[int, int, int, int, int]  # start, kind, end, secret's start, secret's end
 
