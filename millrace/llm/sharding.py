@@ -119,7 +119,8 @@ def by_equal_texts(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id"
     rows = cut_lineage(rows.withColumn("node", F.monotonically_increasing_id()), "nodes")
     same = ["hash", "text_crc32", "size"]
     stars = rows.where("hash is not null").groupBy(*same).agg(F.min("node").alias("a"), F.count("*").alias("n"))
-    links = rows.join(stars.where("n > 1"), same).where("node > a").select("a", F.col("node").alias("b"))
+    stars = cut_lineage(stars.where("n > 1"), "stars")  # stored, so that a hot group's join can be split
+    links = rows.join(stars, same).where("node > a").select("a", F.col("node").alias("b"))
     nodes = rows.count()
     labels = propagate(links, nodes, shards).withColumn("linked", F.lit(True))
     draw = F.pmod(F.xxhash64("node", F.lit("start")), F.lit(shards)).cast("int")
