@@ -179,7 +179,9 @@ def near_vectors(
     )
     narrow_rows = coded.select("label", "rep", F.inline(keys))
     bucket = ["label", "table", "key"]
-    full = narrow_rows.groupBy(*bucket).agg(F.count("*").alias("held")).where("held > 1")
+    full = cut_lineage(
+        narrow_rows.groupBy(*bucket).agg(F.count("*").alias("held")).where("held > 1"), "held"
+    )
     parts = F.ceil(F.col("held") / BUCKET).cast("int")
     own_part = F.pmod(F.xxhash64("rep", "table"), F.col("parts")).cast("int")
     members = narrow_rows.join(full, bucket).withColumn("parts", parts).withColumn("part", own_part)
