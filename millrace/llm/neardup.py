@@ -214,7 +214,7 @@ def classes(
     """
     sketch = sketches(docs, id_col, text)
     equal = ["words_hash", "n_words"]
-    firsts = sketch.groupBy(*equal).agg(F.min("doc_id").alias("first"))
+    firsts = cut_lineage(sketch.groupBy(*equal).agg(F.min("doc_id").alias("first")), "firsts")
     members = cut_lineage(
         sketch.select("doc_id", *equal).join(firsts, equal).select("doc_id", "first").distinct(), "members"
     )
