@@ -9,19 +9,22 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_, or_
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions.expressions import or_else
 from millrace.functions.fixed import UNMAPPED
+from millrace.scratch import cut_lineage
 
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 BAND_LOOP_ROWS = 256
 MAX_LISTED_VALUES = 1_000
 HOT_SHARE = 0.02
+LEAST_SHARE = 1e-5
 SALTS = 32
 
 
@@ -106,12 +109,15 @@ def fan_out(
 def fits_broadcast(
     side: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
 ) -> bool:
-    """Whether a side is small enough to copy to every executor. Starts a job: one aggregate."""
+    """Whether a side is small enough to copy to every executor.
+
+    Starts a job, which looks at no more rows than decide it.
+    """
     width = sum(
         (F.coalesce(F.octet_length(_named(c).cast("string")), F.lit(0)) + 8 for c in side.columns),
         F.lit(0),
     )
-    size = side.agg(
+    size = side.limit(max_rows + 1).agg(
         F.count(F.lit(1)).alias("row_count"), F.coalesce(F.sum(width), F.lit(0)).alias("byte_count")
     ).first()
     return size["row_count"] <= max_rows and size["byte_count"] <= max_bytes
@@ -149,14 +155,16 @@ def strategy_join(
     return left.join(right.hint(strategy), on=on, how=how)
 
 
-def pair_with_values(frame: DataFrame, name: str, values: Sequence, ddl_type: str) -> DataFrame:
+def pair_with_values(
+    frame: DataFrame, name: str, values: Sequence, ddl_type: str, max_values: int = MAX_LISTED_VALUES
+) -> DataFrame:
     """Every row with every listed value: n x m rows, where m is a short list in the plan.
 
     This is the bounded form of a cross join; there is no join in it, so nothing is copied or
-    compared. Give it a handful of labels, not data.
+    compared. Give it a handful of labels, not data: more than ``max_values`` are refused.
     """
-    if len(values) > MAX_LISTED_VALUES:
-        raise ValueError(f"{len(values)} values; at most {MAX_LISTED_VALUES} may be listed")
+    if len(values) > max_values:
+        raise ValueError(f"{len(values)} values; at most {max_values} may be listed")
     listed = F.array(*[F.lit(v).cast(ddl_type) for v in values])
     return frame.withColumn(name, F.explode(listed))
 
@@ -171,33 +179,67 @@ def band_join(
     lower: str = "lower",
     upper: str = "upper",
     how: str = "left",
-    bin_width: float | None = None,
     loop_rows: int = BAND_LOOP_ROWS,
 ) -> DataFrame:
-    """Rows with every band for which ``lower <= value < upper``. Starts a job to measure bands.
+    """Rows with every band for which ``lower <= value < upper``: numbers, dates or timestamps.
 
     Few bands are broadcast and tested one by one, which leaves the rows where they are. Beyond
-    ``loop_rows`` both sides get bins and join on the bin, with the range as a residual test: a
-    row has one bin, so it meets a band at most once. A crowded bin is salted. ``bin_width``
-    defaults to the mean band width, which keeps the bins per band few.
+    ``loop_rows`` bands are put into classes by width: a class has bins of the next power of two,
+    so a band of any width, an endless one included, lies in two or three bins of its class, and
+    wide bands do not crowd the narrow ones' bins. A row has one bin in each class there is. The
+    range itself stays a residual test, and crowded bins are spread. With several classes, a left
+    join adds the rows whose value no band holds, found from the distinct values.
+
+    Starts jobs: bands are measured, their classes listed (powers of two, so at most some
+    hundreds), crowded bins searched for.
     """
     if how not in {"inner", "left"}:
         raise ValueError("how must be inner or left")
-    inside = (F.col(value) >= F.col(lower)) & (F.col(value) < F.col(upper))
+    inside = (_named(value) >= _named(lower)) & (_named(value) < _named(upper))
     if fits_broadcast(bands, max_rows=loop_rows):
         return rows.join(F.broadcast(bands), inside, how)
-    real = bands.where(F.col(lower) < F.col(upper))
-    if bin_width is None:
-        bin_width = real.agg(F.avg((F.col(upper) - F.col(lower)).cast("double"))).first()[0] or 1.0
-
-    def bin_of(column: Column) -> Column:
-        return F.floor(column.cast("double") / F.lit(float(bin_width))).cast("bigint")
-
-    binned_rows = rows.withColumn("_bin", bin_of(F.col(value)))
-    binned_bands = real.withColumn(
-        "_bin", F.explode(F.sequence(bin_of(F.col(lower)), bin_of(F.col(upper))))
-    )
-    return salted_join(binned_rows, binned_bands, "_bin", how, residual=inside).drop("_bin")
+    real = bands.where(_named(lower) < _named(upper))
+    low, high = (_as_number(real, c) for c in (lower, upper))
+    width = F.greatest(high - low, F.lit(2.0**-1000))
+    real = real.withColumn("_class", F.least(F.ceil(F.log2(width)), F.lit(1023)).cast("int"))
+    classes = sorted(row["_class"] for row in real.select("_class").distinct().collect())
+    first, last = (_bin_of(c, F.col("_class")) for c in (low, high))
+    binned = real.withColumn("_bin", F.explode(F.sequence(first, last)))
+
+    def in_classes(frame: DataFrame) -> DataFrame:
+        listed = F.array(*[F.lit(c) for c in classes]) if classes else F.lit(None).cast("array<int>")
+        spread = frame.withColumn("_class", F.explode_outer(listed))
+        return spread.withColumn("_bin", _bin_of(_as_number(frame, value), F.col("_class")))
+
+    on = ["_class", "_bin"]
+    if how == "inner" or len(classes) <= 1:
+        return salted_join(in_classes(rows), binned, on, how, residual=inside).drop(*on)
+    met = salted_join(in_classes(rows), binned, on, "inner", residual=inside).drop(*on)
+    values = in_classes(rows.select(_named(value)).distinct())
+    held = salted_join(values, binned, on, "left_semi", residual=inside).select(_named(value))
+    alone = rows.join(held.distinct().withColumnRenamed(value, "_held"), _named(value) == F.col("_held"), "left_anti")
+    return met.unionByName(alone, allowMissingColumns=True)
+
+
+def _as_number(frame: DataFrame, name: str) -> Column:
+    """A number that grows with the column: days, microseconds, or the value, kept finite."""
+    kind = frame.schema[name].dataType
+    if isinstance(kind, T.DateType):
+        number = F.unix_date(_named(name))
+    elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        number = F.unix_micros(_named(name).cast("timestamp"))
+    else:
+        number = _named(name)
+    most = F.lit(8.9e307)  # so that widths stay finite too
+    return F.greatest(-most, F.least(most, number.cast("double")))
+
+
+def _bin_of(number: Column, class_: Column) -> Column:
+    """The bin of a number among bins as wide as two to the power of its class."""
+    bin_ = F.floor(number / F.pow(F.lit(2.0), class_.cast("double")))
+    # Bins beyond 2**62 are one: numbers that large, beside bands that narrow, have no fractions.
+    most = F.lit(float(2**62))
+    return F.greatest(-most, F.least(most, bin_.cast("double"))).cast("bigint")
 
 
 def keyed_range_join(
@@ -248,11 +290,37 @@ def hot_keys(rows: DataFrame, on: str | list[str], share: float = HOT_SHARE) ->
     shuffled. It misses no key above seven in ``tracked`` of the rows, which is below ``share``,
     and what it finds is then counted exactly.
     """
-    if not 1e-5 <= share < 1:
-        raise ValueError("share must be at least 0.00001 and below 1")
     keys = [on] if isinstance(on, str) else list(on)
+    found, total = heavy_digests(rows, keys, share)
+    digest = key_digest(rows, keys)
+    counted = rows.where(digest.isin([d for d, _ in found]))
+    counted = counted.groupBy(*[_named(k) for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
+    return counted.where(F.col("_n") > F.lit(total * share)).select(*[_named(k) for k in keys])
+
+
+def key_digest(rows: DataFrame, keys: Sequence[str], kinds: Sequence[T.DataType] | None = None) -> Column:
+    """A hash that equal keys share, computed in ``kinds`` where sides differ in type."""
+    kinds = kinds or [rows.schema[k].dataType for k in keys]
+    parts = []
+    for key, kind in zip(keys, kinds, strict=True):
+        part = _named(key) if rows.schema[key].dataType == kind else _named(key).cast(kind)
+        if isinstance(kind, (T.FloatType, T.DoubleType)):
+            part = part + F.lit(0).cast(kind)  # the two zeros are equal keys
+        parts.append(part)
+    return F.xxhash64(*parts)
+
+
+def heavy_digests(
+    rows: DataFrame, keys: Sequence[str], share: float, digest: Column | None = None
+) -> tuple[list[tuple[int, int]], int]:
+    """Digests of keys above ``share`` of the rows, each with its count, and the count of all rows.
+
+    Starts a job: one pass, a mergeable sketch. Counts are the sketch's, never below the truth.
+    """
+    if not LEAST_SHARE <= share < 1:
+        raise ValueError("share must be at least 0.00001 and below 1")
     listed, tracked = math.ceil(2 / share), max(10_000, math.ceil(8 / share))
-    digest = F.xxhash64(*[_named(k) for k in keys])
+    digest = key_digest(rows, keys) if digest is None else digest
     sketch = (
         rows.select(digest.alias("_digest"))
         .agg(
@@ -261,10 +329,15 @@ def hot_keys(rows: DataFrame, on: str | list[str], share: float = HOT_SHARE) ->
         )
         .first()
     )
-    enough = sketch["row_count"] * share
-    likely = [entry["item"] for entry in sketch["top"] if entry["count"] > enough]
-    counted = rows.where(digest.isin(likely)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return counted.where(F.col("_n") > F.lit(enough)).select(*keys)
+    total = sketch["row_count"]
+    found = [(e["item"], e["count"]) for e in sketch["top"] or () if e["count"] > total * share]
+    return found, total
+
+
+def fair_share(frame: DataFrame) -> float:
+    """What one shuffle partition would hold of rows spread evenly."""
+    partitions = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(0.5, max(LEAST_SHARE, 1 / max(1, partitions)))
 
 
 def salted_join(
@@ -273,17 +346,22 @@ def salted_join(
     on: str | list[str],
     how: str = "left",
     salts: int = SALTS,
-    share: float = HOT_SHARE,
+    share: float | None = None,
     residual: Column | None = None,
     hot: Sequence[tuple] | None = None,
 ) -> DataFrame:
-    """Join as usual, but spread the left side's hot keys over ``salts`` partitions each.
-
-    Unless given as ``hot``, the hot keys are found first, which starts a job; they are fewer
-    than ``1 / share``, and if there are none, this is a plain join. Given keys must all occur
-    on the left. Only right rows of hot keys are repeated, once per salt. The salt comes from the
-    row and its input partition, so a retried task gives a row the same salt and copies of one
-    row still spread. ``residual`` may test further columns of both sides by name; apart from
+    """Join as usual, but spread the left side's hot keys over several partitions each.
+
+    A key is hot above ``share`` of the left rows, by default what a shuffle partition would hold
+    of rows spread evenly, and gets a salt for each such share it has (rounded up to a power of
+    two). Only right rows of hot keys are repeated, once per salt. Keys named as ``hot`` are not
+    searched for and get ``salts`` each; naming a key that does not occur changes nothing. The
+    salt comes from the row and its input partition, so a retried task gives a row the same salt
+    and copies of one row still spread.
+
+    The left side is evaluated twice, once to find the hot keys: by a sketch, or, for a right or
+    full join, by counts per key stored in the shared folder, which also tell the right rows
+    without a partner. ``residual`` may test further columns of both sides by name; apart from
     the keys, the sides must not share column names.
     """
     keys = [on] if isinstance(on, str) else list(on)
@@ -295,57 +373,86 @@ def salted_join(
     if residual is not None and how in {"right", "full"}:
         raise ValueError(f"a {how} join takes no residual condition")
 
-    if hot is None:
-        hot = [tuple(row) for row in hot_keys(left, keys, share).collect()]
-    slot = F.xxhash64(*[_named(c) for c in left.columns], F.spark_partition_id())
-    spread = left.withColumn(
-        "_salt",
-        F.when(key_among(hot, left, keys), F.pmod(slot, F.lit(salts)).cast("int")).otherwise(0),
-    )
-    # A null key matches nothing, so its right rows need no copies.
-    copied = [key for key in hot if None not in key]
-    copies = F.when(
-        key_among(copied, right, keys), F.sequence(F.lit(0), F.lit(salts - 1))
-    ).otherwise(F.array(F.lit(0)))
-    repeated = right.withColumn("_salt", F.explode(copies) if copied else F.lit(0))
-    repeated = repeated.withColumnsRenamed({k: f"_right_{k}" for k in [*keys, "_salt"]})
-    condition = _equal([*keys, "_salt"] if hot else keys)
-    if residual is not None:
-        condition = condition & residual
-    joined = spread.join(repeated, condition, how)
+    share = fair_share(left) if share is None else share
+    kinds = [_common_type(left, right, k) for k in keys]
+    digest = key_digest(left, keys, kinds)
+    present = None
+    if how in {"right", "full"}:
+        counts = left.groupBy(*[_named(k) for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
+        present = cut_lineage(counts, "key-counts")
+    if hot is not None:
+        spread = {d: salts for d in _digests_of(left, keys, kinds, hot)}
+    elif present is not None:
+        total = present.agg(F.sum("_n")).first()[0] or 0
+        heavy = present.where(F.col("_n") > F.lit(total * share))
+        rows = heavy.select(digest.alias("_digest"), "_n").collect()
+        spread = {r["_digest"]: _power_of_two(r["_n"] / (total * share)) for r in rows}
+    else:
+        found, total = heavy_digests(left, keys, share, digest)
+        spread = {d: _power_of_two(n / (total * share)) for d, n in found}
 
     rest = [_named(c) for c in left.columns if c not in keys]
+    added = [_named(c) for c in right.columns if c not in keys]
+    matching = {"right": "inner", "full": "left"}.get(how, how)
+    salted, repeated = left, right
+    if spread:
+        slot = F.xxhash64(*_hashable(left), F.spark_partition_id())
+        salted = left.withColumn("_salt", F.pmod(slot, _salts(spread, digest)).cast("int"))
+        known = reduce(and_, [_named(k).isNotNull() for k in keys])  # a null key matches nothing
+        copies = F.when(known, _salts(spread, key_digest(right, keys, kinds))).otherwise(1)
+        repeated = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), copies - 1)))
+    together = [*keys, "_salt"] if spread else keys
+    repeated = repeated.withColumnsRenamed({k: f"_right_{k}" for k in together})
+    condition = _equal(together)
+    if residual is not None:
+        condition = condition & residual
+    joined = salted.join(repeated, condition, matching)
     if how in {"left_semi", "left_anti"}:
         return joined.select(*[_named(k) for k in keys], *rest)
-    if how in {"right", "full"} and copied:
-        # A hot key has left rows, so a copy that met none of them is not an unmatched row.
-        stray = _named("_salt").isNull() & key_among(copied, right, keys, "_right_")
-        joined = joined.where(~F.coalesce(stray, F.lit(False)))
-    added = [_named(c) for c in right.columns if c not in keys]
-    named_keys = [F.coalesce(_named(k), _named(f"_right_{k}")).alias(k) for k in keys]
-    return joined.select(*named_keys, *rest, *added)
+    if present is None:
+        return joined.select(*[_named(k) for k in keys], *rest, *added)
+    # Keys as the widest of both types, like those of the right rows that have no partner.
+    named = [_named(k).cast(kind).alias(k) for k, kind in zip(keys, kinds, strict=True)]
+    others = present.select(*[_named(k).alias(f"_right_{k}") for k in keys])
+    alone = right.join(others, _equal(keys), "left_anti")
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in left.schema if f.name not in keys]
+    return joined.select(*named, *rest, *added).union(alone.select(*named, *nothing, *added))
 
 
-def _equal(names: Sequence[str]) -> Column:
-    return reduce(and_, [_named(n) == _named(f"_right_{n}") for n in names])
+def _power_of_two(at_least: float) -> int:
+    return 1 << max(0, math.ceil(math.log2(max(1.0, at_least))))
 
 
-def key_among(
-    values: Sequence[tuple], frame: DataFrame, keys: Sequence[str], prefix: str = ""
-) -> Column:
-    """Whether a row's key is one of the given tuples; null equals null."""
-    kinds = [frame.schema[k].dataType for k in keys]
-    return reduce(
-        or_,
-        [
-            reduce(
-                and_,
-                [
-                    _named(f"{prefix}{k}").eqNullSafe(F.lit(v).cast(kind))
-                    for k, v, kind in zip(keys, value, kinds, strict=True)
-                ],
-            )
-            for value in values
-        ],
-        F.lit(False),
-    )
+def _salts(spread: dict[int, int], digest: Column) -> Column:
+    """The number of salts of a key, by its digest: a set lookup for each number there is."""
+    out = F.lit(1)
+    for n in sorted(set(spread.values()) - {1}):
+        out = F.when(digest.isin([d for d, m in spread.items() if m == n]), n).otherwise(out)
+    return out
+
+
+def _digests_of(
+    frame: DataFrame, keys: Sequence[str], kinds: Sequence[T.DataType], values: Sequence[tuple]
+) -> list[int]:
+    if not values:
+        return []
+    fields = [T.StructField(k, frame.schema[k].dataType) for k in keys]
+    named = frame.sparkSession.createDataFrame([tuple(v) for v in values], T.StructType(fields))
+    return [row[0] for row in named.select(key_digest(named, keys, kinds)).collect()]
+
+
+def _common_type(left: DataFrame, right: DataFrame, key: str) -> T.DataType:
+    """The type in which two key columns are compared."""
+    one, other = left.schema[key].dataType, right.schema[key].dataType
+    if one == other:
+        return one
+    both = F.coalesce(F.lit(None).cast(one), F.lit(None).cast(other)).alias("key")
+    return left.sparkSession.range(0).select(both).schema["key"].dataType
+
+
+def _hashable(frame: DataFrame) -> list[Column]:
+    return [_named(f.name) for f in frame.schema if "map<" not in f.dataType.simpleString()]
+
+
+def _equal(names: Sequence[str]) -> Column:
+    return reduce(and_, [_named(n) == _named(f"_right_{n}") for n in names])

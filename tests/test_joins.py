@@ -114,6 +114,36 @@ def test_salted_join_with_residual_and_two_keys(skewed, labels):
     assert quality.same_rows(salted, skewed.join(parts, ["key", "part"], "full"))
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "right", "full", "left_semi", "left_anti"])
+def test_hot_keys_that_do_not_occur_change_nothing(skewed, labels, how):
+    plain = skewed.join(labels, "key", how)
+    for hot in ([("absent",), ("hot",)], [("cold",)], [(None,)], []):
+        assert quality.same_rows(joins.salted_join(skewed, labels, "key", how, hot=hot), plain)
+
+
+@pytest.mark.parametrize("how", ["left", "right", "full"])
+def test_many_hot_keys(spark, how):
+    left = spark.range(8000).select((F.col("id") % 1000).cast("int").alias("k"), F.col("id").alias("x"))
+    right = spark.range(0, 1200, 2).select(F.col("id").alias("k"), F.lit("y").alias("y"))
+    salted = joins.salted_join(left, right, "k", how, share=5e-4)
+    assert quality.same_rows(salted, left.join(right, "k", how).select(salted.columns))
+
+
+def test_salts_follow_the_counts(spark):
+    left = spark.range(9000).select(F.when(F.col("id") < 8000, 1).otherwise(F.col("id")).alias("k"))
+    found, total = joins.heavy_digests(left, ["k"], 0.05)
+    assert (len(found), total) == (1, 9000) and 8000 <= found[0][1] <= 8100
+    assert joins._power_of_two(found[0][1] / (total * 0.05)) == 32
+
+
+def test_salted_join_takes_maps_dots_and_zeros(spark):
+    left = spark.sql("SELECT map('a', id) AS m, if(id % 2 = 0, 0.0D, -0.0D) AS `a.b` FROM range(40)")
+    right = spark.sql("SELECT 0.0D AS `a.b`, 'zero' AS name")
+    salted = joins.salted_join(left, right, "a.b", "left", share=0.1)
+    assert [r["name"] for r in salted.collect()] == ["zero"] * 40
+    assert joins.hot_keys(left, "a.b", 0.1).count() == 1
+
+
 def test_salt_spreads_copies_of_one_row(spark, labels):
     copies = spark.range(0, 8000, 1, 8).select(F.lit("hot").alias("key"))
     settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
@@ -186,6 +216,32 @@ def test_band_join_equals_brute_force(spark, loop_rows):
     assert inner.count() == len([p for p in found if p[1] is not None])
 
 
+@pytest.mark.parametrize("loop_rows", [0, 256])
+@pytest.mark.parametrize("kind", ["DATE", "TIMESTAMP", "TIMESTAMP_NTZ", "DECIMAL(12,3)"])
+def test_band_join_takes_days_times_and_decimals(spark, kind, loop_rows):
+    rng = random.Random(3)
+    start = "make_date(2000, 1, 1)" if kind != "DECIMAL(12,3)" else None
+    cell = (lambda n: f"CAST(date_add({start}, {n}) AS {kind})") if start else (lambda n: f"CAST({n}.125 AS {kind})")  # noqa: E501
+    values = [(i, rng.randrange(400)) for i in range(120)]
+    bands = [(f"b{i}", low, low + rng.choice([0, 1, 6, 90, 100_000])) for i, low in enumerate(rng.sample(range(300), 30))]
+    rows = spark.sql(" UNION ALL ".join(f"SELECT {i} AS n, {cell(v)} AS value" for i, v in values))
+    lookup = spark.sql(" UNION ALL ".join(f"SELECT '{b}' AS band, {cell(x)} AS lower, {cell(y)} AS upper" for b, x, y in bands))  # noqa: E501
+    joined = joins.band_join(rows, lookup, "value", loop_rows=loop_rows)
+    assert sorted([(r.n, r.band) for r in joined.collect()], key=repr) == _by_hand(values, bands)
+
+
+@pytest.mark.parametrize("loop_rows", [0, 256])
+def test_band_join_takes_endless_bands(spark, loop_rows):
+    inf = float("inf")
+    values = [(i, float(v)) for i, v in enumerate([-1e300, -5.5, 0.0, 1e-9, 3.0, 49.0, 1e17, 1e300, inf])]
+    bands = [("all", -inf, inf), ("up", 3.0, inf), ("far", 0.0, 1e18), ("thin", 0.0, 1e-8), ("none", 3.0, 3.0)]
+    rows = spark.createDataFrame([*values, (99, None)], "n INT, value DOUBLE")
+    lookup = spark.createDataFrame([*bands, ("half", None, 1.0)], "band STRING, lower DOUBLE, upper DOUBLE")
+    joined = joins.band_join(rows, lookup, "value", loop_rows=loop_rows)
+    found = sorted([(r.n, r.band) for r in joined.collect()], key=repr)
+    assert found == sorted([*_by_hand(values, bands), (99, None)], key=repr)
+
+
 def test_few_bands_use_no_shuffle(spark):
     rows = spark.range(100).withColumn("value", F.col("id").cast("double"))
     bands = spark.createDataFrame([("low", 0.0, 20.0)], "band STRING, lower DOUBLE, upper DOUBLE")
