@@ -71,7 +71,37 @@ QUERIES = {
     "op10_nn_descent": op10_nn_descent,
     "pipeline": corpus_pipeline.run,
 }
-#: No row of these results can be had from SQL: hashes of tokens and words, learnt models, moves.
-SQL: dict[str, str] = {}
+#: The other results rest on token ids, learnt models or moves drawn by hash, which SQL cannot give.
+SQL = {
+    "op1_substring_dedup": r"""WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+g AS (
+  SELECT doc_id, i, array_to_string(words[i:i + 12], ' ') AS run
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM w)),
+f AS (SELECT run, min(doc_id) AS first FROM g GROUP BY run),
+gone AS (
+  SELECT doc_id, list(DISTINCT i + k) AS places
+  FROM g JOIN f USING (run), range(13) AS r(k) WHERE first < doc_id GROUP BY doc_id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words,
+  CAST(coalesce(len(places), 0) AS BIGINT) AS n_removed,
+  sha256(array_to_string(list_filter(words, lambda x, i: NOT list_contains(coalesce(places, []), i)), ' '))
+    AS kept_sha256
+FROM w LEFT JOIN gone USING (doc_id)""",
+    "op7_quantised_dedup": """WITH RECURSIVE good AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e, label FROM embeddings
+  WHERE label IS NOT NULL AND list_bool_and([x IS NOT NULL AND isfinite(x) FOR x IN embedding])
+    AND list_bool_or([x <> 0 FOR x IN embedding])),
+links AS (
+  SELECT one.vec_id AS a, other.vec_id AS b
+  FROM good one JOIN good other ON one.label = other.label AND one.vec_id <> other.vec_id
+    AND list_cosine_similarity(one.e, other.e) >= 0.98),
+reached AS (
+  SELECT vec_id, vec_id AS other FROM embeddings
+  UNION SELECT vec_id, b FROM reached JOIN links ON other = a),
+counted AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(any_value(n), 0) AS n_links, min(other) AS component_id,
+  min(other) = vec_id AS kept
+FROM reached LEFT JOIN counted USING (vec_id) GROUP BY vec_id""",
+}
 if corpus_pipeline.ORACLE_SQL:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
