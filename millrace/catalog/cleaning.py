@@ -111,6 +111,13 @@ def totals_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.totals_kept(good, daily_totals_through_lookup(good, lookup))
 
 
+def totals_kept_fine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amounts of four digits against the same rounded to two: what the rounding lost, exactly."""
+    good = data.good_sales(spark, sf_dir)
+    fine = good.select((F.col("amount") + F.lit("0.0007").cast("decimal(12,4)")).alias("amount"))
+    return quality.totals_kept(fine, good.select(F.col("amount").alias("total")))
+
+
 def report_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The right report against the one a doubled lookup gives: one category differs."""
     good = data.good_sales(spark, sf_dir)
@@ -157,6 +164,7 @@ QUERIES = {
     "repeated_lookup_keys": repeated_lookup_keys,
     "population_check": population_check,
     "totals_kept": totals_kept,
+    "totals_kept_fine": totals_kept_fine,
     "report_differences": report_differences,
     "row_differences": row_differences,
     "enriched_sales": enriched_sales,
@@ -220,8 +228,13 @@ HAVING count(*) > 1"""
   count(*) FILTER (WHERE category = 'building') AS recounted_keys FROM enriched"""
     ),
     "totals_kept": with_sales(
-        """SELECT CAST(sum(amount) AS DOUBLE) AS total_before, CAST(sum(amount) AS DOUBLE) AS total_after
-FROM good"""
+        """SELECT CAST(sum(amount) AS DOUBLE) AS total_before, CAST(sum(amount) AS DOUBLE) AS total_after,
+  CAST(0 AS DOUBLE) AS difference FROM good"""
+    ),
+    "totals_kept_fine": with_sales(
+        """SELECT CAST(sum(fine) AS DOUBLE) AS total_before, CAST(sum(rounded) AS DOUBLE) AS total_after,
+  CAST(sum(fine) - sum(rounded) AS DOUBLE) AS difference
+FROM (SELECT amount + CAST(0.0007 AS DECIMAL(12,4)) AS fine, amount AS rounded FROM good)"""
     ),
     "report_differences": with_sales(
         "SELECT DISTINCT category, 'differs' AS problem FROM enriched WHERE category = 'building'"

@@ -111,24 +111,31 @@ def versioned_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sales_arrivals(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    """The raw sales in three slices by order date; together they are all sales."""
+    """The raw sales in three slices by order date; those without one are in the last."""
     orders = table(spark, sf_dir, "orders")
-    early, late = (F.lit(cut).cast("date") for cut in ARRIVAL_CUTS)
-    placed = F.col("o_orderdate").cast("date")
-    slices = [placed < early, (placed >= early) & (placed < late), placed >= late]
+    placed = F.col("o_orderdate")
+    kind = orders.schema["o_orderdate"].dataType
+    early, late = (F.lit(cut).cast(kind) for cut in ARRIVAL_CUTS)
+    slices = [placed < early, (placed >= early) & (placed < late), (placed >= late) | placed.isNull()]
     return [raw_sales(orders.where(s)) for s in slices]
 
 
-def event_arrivals(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    """All events in three slices of equal length in time, oldest first."""
+def event_arrivals(
+    spark: SparkSession, sf_dir: str, late_minutes: int = 0
+) -> list[DataFrame]:
+    """All events in three slices of equal length in time, oldest first.
+
+    Events without a time are in the last. With ``late_minutes`` an event is delivered up to so
+    much later than it happened, depending on its id, so slices overlap in time.
+    """
     events = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    ends = events.agg(
-        F.min(F.unix_micros("ts")).alias("first"), F.max(F.unix_micros("ts")).alias("last")
-    ).first()
-    step = (ends["last"] - ends["first"]) // 3 + 1
-    at: Column = F.unix_micros("ts")
-    bounds = [ends["first"] + step * i for i in range(3)]
-    return [events.where((at >= low) & (at < low + step)) for low in bounds]
+    late = F.pmod("event_id", F.lit(late_minutes + 1)) * 60_000_000
+    at: Column = F.unix_micros("ts") + F.coalesce(late, F.lit(0))
+    ends = events.agg(F.min(at).alias("first"), F.max(at).alias("last")).first()
+    first, last = ends["first"] or 0, ends["last"] or 0
+    step = (last - first) // 3 + 1
+    slices = [(at >= first + step * i) & (at < first + step * (i + 1)) for i in range(3)]
+    return [events.where(part) for part in (*slices[:2], slices[2] | at.isNull())]
 
 
 def land(spark: SparkSession, slices: list[DataFrame], purpose: str) -> str:

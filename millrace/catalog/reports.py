@@ -99,6 +99,30 @@ def calendar_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.calendar_totals(data.good_sales(spark, sf_dir))
 
 
+def calendar_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The calendar over all cleaned sales: those without a readable time are a row of their own."""
+    return reports.calendar_totals(data.cleaned(spark, sf_dir))
+
+
+def _in_cents(frame: DataFrame, *totals: str) -> DataFrame:
+    """Totals as whole cents, which compare without rounding."""
+    return frame.withColumns({t: (F.col(t) * 100).cast("bigint") for t in totals})
+
+
+def category_cents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report = totals_through_lookup(data.good_sales(spark, sf_dir), data.lookup(spark, sf_dir))
+    return _in_cents(report, "total")
+
+
+def daily_cents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good, lookup = data.good_sales(spark, sf_dir), data.lookup(spark, sf_dir)
+    return _in_cents(reports.daily_totals_through_lookup(good, lookup), "total", "largest_sale")
+
+
+def partial_final_cents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _in_cents(partial_final(spark, sf_dir), "total")
+
+
 def union_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accepted and rejected rows, the latter in another column order, are all rows again."""
     cleaned = data.cleaned(spark, sf_dir).select("sale_id", "product_id", "reject_reason")
@@ -195,6 +219,10 @@ QUERIES = {
     "sorted_by_two": sorted_by_two,
     "preview": preview,
     "calendar_report": calendar_report,
+    "calendar_all": calendar_all,
+    "category_cents": category_cents,
+    "daily_cents": daily_cents,
+    "partial_final_cents": partial_final_cents,
     "union_by_name": union_by_name,
     "diff_all": diff_all,
     "tags_long": tags_long,
@@ -254,6 +282,28 @@ FROM (SELECT unnest(generate_series(
         (SELECT min(sold_at) FROM good), (SELECT max(sold_at) FROM good), INTERVAL 1 DAY)) AS d)
 LEFT JOIN good ON CAST(sold_at AS DATE) = CAST(d AS DATE) GROUP BY d"""
     ),
+    "calendar_all": with_sales(
+        """SELECT CAST(d AS TIMESTAMP) AS sale_date, count(sale_id) AS sales,
+  CAST(sum(amount) AS DOUBLE) AS total
+FROM (SELECT unnest(generate_series(date_trunc('day', (SELECT min(sold_at) FROM cleaned)),
+        (SELECT max(sold_at) FROM cleaned), INTERVAL 1 DAY)) AS d)
+LEFT JOIN cleaned ON CAST(sold_at AS DATE) = CAST(d AS DATE) GROUP BY d
+UNION ALL
+SELECT NULL, count(*), CAST(sum(amount) AS DOUBLE) FROM cleaned WHERE sold_at IS NULL
+HAVING count(*) > 0"""
+    ),
+    "category_cents": with_sales(
+        """SELECT category, count(*) AS sales, CAST(sum(amount) * 100 AS BIGINT) AS total
+FROM enriched GROUP BY category"""
+    ),
+    "daily_cents": with_sales(
+        """SELECT CAST(CAST(sold_at AS DATE) AS TIMESTAMP) AS sale_date, category,
+  CAST(sum(amount) * 100 AS BIGINT) AS total, CAST(max(amount) * 100 AS BIGINT) AS largest_sale
+FROM enriched GROUP BY ALL"""
+    ),
+    "partial_final_cents": """SELECT l_returnflag, l_linestatus, count(*) AS sales,
+  CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2))) * 100 AS BIGINT) AS total
+FROM lineitem GROUP BY l_returnflag, l_linestatus""",
     "union_by_name": with_sales("SELECT sale_id, product_id, reject_reason FROM cleaned"),
     "diff_all": with_sales(
         "SELECT product_id FROM good EXCEPT ALL SELECT product_id FROM lookup"

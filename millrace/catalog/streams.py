@@ -23,7 +23,14 @@ from millrace.sources.streams import arrivals, read_stream
 from millrace.sources.tables import read_table
 from millrace.streaming import event_time
 from millrace.streaming.lookups import enrich_stream
-from millrace.streaming.runs import AVAILABLE_NOW, drain, finish
+from millrace.streaming.runs import (
+    AVAILABLE_NOW,
+    drain,
+    finish,
+    remember_boundary,
+    require_boundary,
+    run_now,
+)
 
 WATERMARK = "2 hours"
 FOLLOW_UP_SECONDS = 3600
@@ -117,20 +124,18 @@ def stream_rows_once(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accepted and rejected rows of one stream saved to two places; both are returned."""
     landing = data.land(spark, data.sales_arrivals(spark, sf_dir), "landing")
-    kept, audit = fresh_folder(spark, "kept"), fresh_folder(spark, "audit")
+    output = fresh_folder(spark, "split")
     parsed = clean_sales(arrivals(spark, landing, data.RAW_SALES_DDL))
     finish(
         sinks.to_batches(
             parsed,
-            sinks.split_by_reason(kept, audit),
+            sinks.split_by_reason(output),
             fresh_folder(spark, "checkpoint"),
             trigger=AVAILABLE_NOW,
         )
     )
-    return (
-        sinks.all_batches(spark, audit)
-        .unionByName(sinks.all_batches(spark, kept), allowMissingColumns=True)
-        .drop("batch_id")
+    return sinks.rejected_batches(spark, output).unionByName(
+        sinks.accepted_batches(spark, output), allowMissingColumns=True
     )
 
 
@@ -158,7 +163,7 @@ def stream_words_update(spark: SparkSession, sf_dir: str) -> DataFrame:
         counts = word_count(read_stream(spark, "text", f"{landing}/*"))
         finish(
             sinks.to_batches(
-                counts, sinks.batch_folder(output), checkpoint, "update", AVAILABLE_NOW
+                counts, sinks.folded_batches(output, "word"), checkpoint, "update", AVAILABLE_NOW
             )
         )
     return sinks.latest_per_key(spark, output, "word")
@@ -193,11 +198,13 @@ def _event_stream(spark: SparkSession, landing: str) -> DataFrame:
     return event_time.watermarked(arrivals(spark, landing, schema), "ts", WATERMARK)
 
 
-def _append_windows(spark: SparkSession, sf_dir: str, build) -> DataFrame:
+def _append_windows(
+    spark: SparkSession, sf_dir: str, build, late_minutes: int = 0
+) -> DataFrame:
     """Run a windowed query after each arrival; the watermark and open windows carry over."""
     landing, output = fresh_folder(spark, "events"), fresh_folder(spark, "windows")
     checkpoint = fresh_folder(spark, "checkpoint")
-    for number, rows in enumerate(data.event_arrivals(spark, sf_dir), 1):
+    for number, rows in enumerate(data.event_arrivals(spark, sf_dir, late_minutes), 1):
         publish_arrival(rows, landing, f"{number:02d}")
         counts = build(_event_stream(spark, landing))
         finish(sinks.to_files(counts, output, checkpoint, trigger=AVAILABLE_NOW))
@@ -211,6 +218,59 @@ def win_watermark_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def win_out_of_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events delivered up to 90 minutes late, out of order, inside the delay that is waited for."""
+    return _append_windows(
+        spark, sf_dir, lambda s: event_time.window_counts(s, "ts", "1 hour", "event_type"), 90
+    )
+
+
+def stream_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that each run took in, as the finished queries report them."""
+    landing, output = fresh_folder(spark, "landing"), fresh_folder(spark, "sold")
+    checkpoint, found = fresh_folder(spark, "checkpoint"), []
+    for number, rows in enumerate(data.sales_arrivals(spark, sf_dir), 1):
+        publish_arrival(rows, landing, f"{number:02d}")
+        stream = arrivals(spark, landing, data.RAW_SALES_DDL)
+        run = run_now(lambda s=stream: sinks.to_files(s, output, checkpoint, trigger=AVAILABLE_NOW))
+        found.append((number, run["active"], run["run_rows"]))
+    return spark.createDataFrame(found, "arrival BIGINT, active BOOLEAN, run_rows BIGINT")
+
+
+def stream_timed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A query on a processing-time trigger takes in all arrivals and is stopped."""
+    landing = data.land(spark, data.sales_arrivals(spark, sf_dir), "landing")
+    output = fresh_folder(spark, "sold")
+    drain(
+        sinks.to_files(
+            _sold_stream(spark, sf_dir, landing),
+            output,
+            fresh_folder(spark, "checkpoint"),
+            trigger={"processingTime": "500 milliseconds"},
+        )
+    )
+    return spark.read.parquet(output)
+
+
+def stream_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the guard says to the same computation, a changed one, and a wrong arrival."""
+    landing = data.land(spark, data.sales_arrivals(spark, sf_dir)[:1], "landing")
+    folder = fresh_folder(spark, "guarded")
+    report = category_totals(_sold_stream(spark, sf_dir, landing))
+    _report_run(report, f"{folder}/report", f"{folder}/checkpoint")
+    remember_boundary(report, folder, 1)
+    rows = sinks.latest_batch(spark, f"{folder}/report").agg(F.sum("sales")).first()[0]
+    changed = report.withColumn("total", F.col("total") * 2)
+    found = []
+    for case, stream, after in (("same", report, 1), ("changed", changed, 1), ("elsewhere", report, 2)):
+        try:
+            require_boundary(stream, folder, after)
+            found.append((case, True, rows))
+        except ValueError:
+            found.append((case, False, rows))
+    return spark.createDataFrame(found, "case STRING, resumes BOOLEAN, sales BIGINT")
+
+
 def win_session_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User sessions, written once the watermark has passed their end."""
     return _append_windows(
@@ -229,7 +289,11 @@ def win_sliding_update(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         finish(
             sinks.to_batches(
-                counts, sinks.batch_folder(output), checkpoint, "update", AVAILABLE_NOW
+                counts,
+                sinks.folded_batches(output, "window_start", "window_end"),
+                checkpoint,
+                "update",
+                AVAILABLE_NOW,
             )
         )
     return sinks.latest_per_key(spark, output, "window_start", "window_end")
@@ -275,6 +339,10 @@ QUERIES = {
     "win_session_append": win_session_append,
     "win_sliding_update": win_sliding_update,
     "stream_stream_join": stream_stream_join,
+    "win_out_of_order": win_out_of_order,
+    "stream_status": stream_status,
+    "stream_timed": stream_timed,
+    "stream_guard": stream_guard,
 }
 
 SESSIONS_SQL = """marked AS (
@@ -290,6 +358,16 @@ SLIDING_SQL = """SELECT time_bucket(INTERVAL 15 MINUTE, ts) - k * INTERVAL 15 MI
   count(*) AS events
 FROM events, range(4) AS r(k) GROUP BY ALL"""
 _CLOSED = "(SELECT max(ts) - INTERVAL 2 HOUR FROM events)"
+_CLOSED_WINDOWS_SQL = f"""SELECT window_start, window_end, event_type, events FROM (
+  SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
+    time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end, event_type,
+    count(*) AS events
+  FROM events GROUP BY ALL)
+WHERE window_end <= {_CLOSED}"""
+_SOLD_SQL = with_sales(
+    """SELECT sale_id, product_id, CAST(amount AS DOUBLE) AS amount, sold_at, category
+FROM enriched"""
+)
 
 SQL = {
     "stream_report": with_sales(
@@ -305,10 +383,7 @@ WHERE placed < before GROUP BY arrival, category"""
 FROM enriched, (VALUES ('first'), ('fresh')) AS v(history) GROUP BY category, history"""
     ),
     "stream_memory_table": CATEGORY_REPORT_SQL,
-    "stream_rows": with_sales(
-        """SELECT sale_id, product_id, CAST(amount AS DOUBLE) AS amount, sold_at, category
-FROM enriched"""
-    ),
+    "stream_rows": _SOLD_SQL,
     "stream_rows_once": with_sales(
         """SELECT count(*) AS rows, count(DISTINCT sale_id) AS distinct_keys,
   CAST(0 AS BIGINT) AS repeated_keys FROM enriched"""
@@ -322,12 +397,19 @@ FROM enriched"""
     "stream_formats": """SELECT source, event_type, count(*) AS events,
   CAST(sum(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS total
 FROM events, (VALUES ('csv'), ('json'), ('orc')) AS v(source) GROUP BY source, event_type""",
-    "win_watermark_append": f"""SELECT window_start, window_end, event_type, events FROM (
-  SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
-    time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end, event_type,
-    count(*) AS events
-  FROM events GROUP BY ALL)
-WHERE window_end <= {_CLOSED}""",
+    "win_watermark_append": _CLOSED_WINDOWS_SQL,
+    "win_out_of_order": _CLOSED_WINDOWS_SQL,
+    "stream_status": with_sales(
+        f"""SELECT CAST(1 + (placed >= DATE '{data.ARRIVAL_CUTS[0]}')::INT
+    + (placed >= DATE '{data.ARRIVAL_CUTS[1]}')::INT AS BIGINT) AS arrival,
+  false AS active, count(*) AS run_rows FROM sales GROUP BY ALL"""
+    ),
+    "stream_timed": _SOLD_SQL,
+    "stream_guard": with_sales(
+        f"""SELECT v.name AS "case", v.resumes, (SELECT count(*) FROM enriched
+  WHERE placed < DATE '{data.ARRIVAL_CUTS[0]}') AS sales
+FROM (VALUES ('same', true), ('changed', false), ('elsewhere', false)) AS v(name, resumes)"""
+    ),
     "win_session_append": f"""WITH {SESSIONS_SQL}
 SELECT window_start, window_end, user_id, events FROM sessions WHERE window_end <= {_CLOSED}""",
     "win_sliding_update": SLIDING_SQL,

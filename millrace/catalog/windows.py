@@ -24,6 +24,12 @@ def win_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.sliding_counts(data.table(spark, sf_dir, "events"), "ts", "1 hour", "15 minutes")
 
 
+def win_sliding_uneven(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows whose size is no multiple of the slide."""
+    events = data.table(spark, sf_dir, "events")
+    return windows.sliding_counts(events, "ts", "60 minutes", "25 minutes")
+
+
 def win_session(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = data.table(spark, sf_dir, "events")
     sessions = windows.session_counts(events, "ts", 8 * 3600, "user_id")
@@ -39,6 +45,7 @@ QUERIES = {
     "win_tumbling": win_tumbling,
     "win_tumbling_key": win_tumbling_key,
     "win_sliding": win_sliding,
+    "win_sliding_uneven": win_sliding_uneven,
     "win_session": win_session,
 }
 
@@ -50,6 +57,11 @@ FROM events GROUP BY ALL""",
   time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end, event_type, count(*) AS events
 FROM events GROUP BY ALL""",
     "win_sliding": SLIDING_SQL,
+    "win_sliding_uneven": """SELECT make_timestamp(s) AS window_start,
+  make_timestamp(s + 3600000000) AS window_end, count(*) AS events
+FROM (SELECT epoch_us(ts) AS e, (epoch_us(ts) // 1500000000 - k) * 1500000000 AS s
+      FROM events, range(3) AS r(k))
+WHERE s + 3600000000 > e GROUP BY s""",
     "win_session": f"""WITH {SESSIONS_SQL}
 SELECT window_start, window_end, user_id, events FROM sessions""",
 }

@@ -6,12 +6,15 @@ shuffle with partial aggregation instead of a join per direction.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
 from millrace.functions.expressions import is_blank
 
+COPIES = 10_000
+
 
 # --- inputs --------------------------------------------------------------------------------------
 
@@ -118,16 +121,27 @@ def population(before: DataFrame, after: DataFrame, key: str = "sale_id") -> Dat
 def totals_kept(
     fine: DataFrame, coarse: DataFrame, fine_measure: str = "amount", coarse_measure: str = "total"
 ) -> DataFrame:
-    """One row: the grand total before and after the grain changed."""
-    before = fine.agg(F.sum(fine_measure).alias("total")).select(
-        F.lit("before").alias("_side"), F.col("total").cast("decimal(38,2)")
-    )
-    after = coarse.agg(F.sum(coarse_measure).alias("total")).select(
-        F.lit("after").alias("_side"), F.col("total").cast("decimal(38,2)")
-    )
-    return before.unionByName(after).agg(
-        F.max(F.when(F.col("_side") == "before", F.col("total"))).alias("total_before"),
-        F.max(F.when(F.col("_side") == "after", F.col("total"))).alias("total_after"),
+    """One row: the grand total before and after the grain changed, and what was lost.
+
+    Totals keep all their digits: both are compared in the wider scale of the two sums.
+    """
+    before = fine.agg(F.sum(fine_measure).alias("total"))
+    after = coarse.agg(F.sum(coarse_measure).alias("total"))
+    kinds = [side.schema["total"].dataType for side in (before, after)]
+    decimals = all(isinstance(kind, T.DecimalType) for kind in kinds)
+    kind = T.DecimalType(38, max(k.scale for k in kinds)) if decimals else T.DoubleType()
+    sides = [
+        side.select(F.lit(name).alias("_side"), F.col("total").cast(kind))
+        for name, side in (("before", before), ("after", after))
+    ]
+    return (
+        sides[0]
+        .unionByName(sides[1])
+        .agg(
+            F.max(F.when(F.col("_side") == "before", F.col("total"))).alias("total_before"),
+            F.max(F.when(F.col("_side") == "after", F.col("total"))).alias("total_after"),
+        )
+        .withColumn("difference", F.col("total_before") - F.col("total_after"))
     )
 
 
@@ -186,8 +200,38 @@ def same_report(first: DataFrame, second: DataFrame, key: str = "category") -> b
 
 
 def surplus_rows(first: DataFrame, second: DataFrame) -> DataFrame:
-    """Rows of the first frame beyond their copies in the second, copies kept."""
-    return first.exceptAll(second.select(*first.columns))
+    """Rows of the first frame beyond their copies in the second, copies kept.
+
+    After the comparison there is one row for all copies. Rows with many leave in parts of
+    ``COPIES``, dealt out before they are repeated, so no task writes a hot row's copies alone.
+    """
+    names = [F.col(f"`{n}`") for n in first.columns]
+    more = row_differences(first, second).where(F.col("surplus") > 0)
+    few = more.where(F.col("surplus") <= COPIES).select(*names, F.col("surplus").alias("_copies"))
+    parts = F.sequence(F.lit(0), F.floor((F.col("surplus") - 1) / COPIES))
+    many = more.where(F.col("surplus") > COPIES).withColumn("_part", F.explode(parts))
+    size = F.least(F.lit(COPIES), F.col("surplus") - F.col("_part") * COPIES)
+    tasks = int(first.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    many = many.withColumn("_copies", size).repartition(tasks, "_part", *names).select(*names, "_copies")
+    one = F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")
+    return few.unionByName(many).select(*names, one).drop("_copy")
+
+
+def row_marks(frame: DataFrame) -> list[Column]:
+    """Aggregates that two frames of equal rows share, in any order: a count and sums of hashes.
+
+    Maps are hashed as sorted entries where a column is one.
+    """
+    parts = [
+        F.array_sort(F.map_entries(F.col(f"`{f.name}`"))) if isinstance(f.dataType, T.MapType) else F.col(f"`{f.name}`")
+        for f in frame.schema
+    ]
+    first, second = F.xxhash64(*parts), F.xxhash64(F.lit("second"), *parts)
+    return [
+        F.count(F.lit(1)).alias("rows"),
+        F.sum(first.cast("decimal(20,0)")).alias("first_sum"),
+        F.sum(second.cast("decimal(20,0)")).alias("second_sum"),
+    ]
 
 
 def _tagged(frame: DataFrame, side: str, key: str) -> DataFrame:

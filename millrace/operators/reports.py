@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from millrace.functions.expressions import or_else, pieces
 from millrace.functions.fixed import UNMAPPED
 from millrace.scratch import cut_lineage
+from millrace.sources.tables import numbered
 
 
 def totals_by(frame: DataFrame, *keys: str, measure: str = "amount") -> DataFrame:
@@ -87,7 +88,8 @@ def sorted_rows(frame: DataFrame, *keys: str) -> DataFrame:
     Ties are ordered by the row and its input partition, so range partitioning can cut through
     a key that holds a large part of the rows instead of sending it all to one task.
     """
-    tie = F.xxhash64(*[F.col(f"`{c}`") for c in frame.columns], F.spark_partition_id())
+    plain = [f.name for f in frame.schema if "map<" not in f.dataType.simpleString()]
+    tie = F.xxhash64(*[F.col(f"`{c}`") for c in plain], F.spark_partition_id())
     return frame.withColumn("_tie", tie).orderBy(*keys, "_tie").drop("_tie")
 
 
@@ -101,7 +103,7 @@ def calendar_totals(
 ) -> DataFrame:
     """Totals for every day between the first and the last, days without sales included.
 
-    Starts a job: the daily totals are stored, their end days read back, and ``spark.range``
+    Rows without a time are one row more, without a day, so no total is lost. Starts a job: the daily totals are stored, their end days read back, and ``spark.range``
     generates the days between.
     """
     per_day = cut_lineage(
@@ -111,9 +113,10 @@ def calendar_totals(
     ends = per_day.agg(F.min("sale_date"), F.max("sale_date")).first()
     days = (ends[1] - ends[0]).days + 1 if ends[0] is not None else 0
     start = F.lit(ends[0]).cast("date")
-    calendar = frame.sparkSession.range(days).select(
+    calendar = numbered(frame.sparkSession, days).select(
         F.date_add(start, F.col("id").cast("int")).alias("sale_date")
     )
-    return calendar.join(per_day, "sale_date", "left").select(
+    dated = calendar.join(per_day, "sale_date", "left").select(
         "sale_date", F.coalesce("sales", F.lit(0)).alias("sales"), "total"
     )
+    return dated.unionByName(per_day.where(F.col("sale_date").isNull()))

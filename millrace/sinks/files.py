@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
 
-from millrace.operators.quality import same_rows
+from pyspark.sql import DataFrame, Observation
+
+from millrace.operators.quality import row_marks
 
 
 def write_once(frame: DataFrame, path: str) -> str:
@@ -19,10 +21,15 @@ def write_with_audit(report: DataFrame, rejected_rows: DataFrame, folder: str) -
 
 
 def write_verified(frame: DataFrame, path: str) -> DataFrame:
-    """Write once, read back, and raise unless the stored rows are the given ones."""
-    write_once(frame, path)
+    """Write once, read back, and raise unless the stored rows are the given ones.
+
+    The rows are counted and their hashes summed while they are written, and again while they are
+    read: one pass each, no shuffle, in any order.
+    """
+    written = Observation()
+    write_once(frame.observe(written, *row_marks(frame)), path)
     stored = frame.sparkSession.read.parquet(path)
-    if not same_rows(frame, stored):
+    if stored.agg(*row_marks(stored)).first().asDict() != written.get:
         raise ValueError(f"rows read back from {path} differ from those written")
     return stored
 
@@ -52,7 +59,16 @@ def write_in_files(frame: DataFrame, path: str, files: int) -> str:
 def publish_arrival(frame: DataFrame, landing: str, name: str) -> str:
     """Deliver finished files to a landing folder as one arrival, at most once.
 
-    An arrival is a sub-folder. Spark's committer shows its files only once they are complete,
-    and a second delivery of the same name is refused.
+    An arrival is a sub-folder. It is written under a name that readers pass over and renamed when
+    complete, so a stream sees all of it or nothing (on stores that rename folders in one step), a
+    delivery that failed can be repeated, and a second delivery of a finished one is refused.
     """
-    return write_once(frame, f"{landing}/{name}")
+    spark = frame.sparkSession
+    target = spark._jvm.org.apache.hadoop.fs.Path(f"{landing}/{name}")
+    store = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if store.exists(target):
+        raise FileExistsError(f"{name} was delivered to {landing} before")
+    staged = write_once(frame, f"{landing}/_unfinished/{name}-{uuid.uuid4().hex}")
+    if store.exists(target) or not store.rename(spark._jvm.org.apache.hadoop.fs.Path(staged), target):
+        raise FileExistsError(f"{name} was delivered to {landing} meanwhile")
+    return f"{landing}/{name}"

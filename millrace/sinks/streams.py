@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+FOLD_EVERY = 16
+BASE = "-base"
+
 
 def write_stream(
     frame: DataFrame,
@@ -74,41 +77,98 @@ def batch_folder(folder: str) -> Callable[[DataFrame, int], None]:
     return save
 
 
-def split_by_reason(
-    accepted_folder: str, rejected_folder: str, reason: str = "reject_reason"
+def folded_batches(
+    folder: str, *keys: str, every: int = FOLD_EVERY
 ) -> Callable[[DataFrame, int], None]:
-    """Save accepted and rejected rows of a batch to two places, parsing the batch once."""
-    keep, audit = batch_folder(accepted_folder), batch_folder(rejected_folder)
+    """``batch_folder`` for update mode that also folds old batches into the newest row per key.
+
+    After every so many batches the rows that ``latest_per_key`` would give are stored beside the
+    batches, so that a reader needs only that base and the batches since.
+    """
+    save_batch = batch_folder(folder)
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            keep(batch.where(F.col(reason).isNull()).drop(reason), batch_id)
-            audit(batch.where(F.col(reason).isNotNull()), batch_id)
-        finally:
-            batch.unpersist()
+        save_batch(batch, batch_id)
+        if batch_id % every == every - 1:
+            base = latest_per_key(batch.sparkSession, folder, *keys, through=batch_id)
+            base.write.mode("overwrite").parquet(f"{folder}{BASE}/through={batch_id}")
 
     return save
 
 
+def split_by_reason(folder: str, reason: str = "reject_reason") -> Callable[[DataFrame, int], None]:
+    """Save accepted and rejected rows of a batch apart, in one write that parses it once.
+
+    ``accepted_batches`` and ``rejected_batches`` read them.
+    """
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        outcome = F.when(F.col(reason).isNull(), "accepted").otherwise("rejected")
+        marked = batch.withColumn("outcome", outcome)
+        marked.write.mode("overwrite").partitionBy("outcome").parquet(f"{folder}/batch_id={batch_id}")
+
+    return save
+
+
+def accepted_batches(spark: SparkSession, folder: str, reason: str = "reject_reason") -> DataFrame:
+    rows = spark.read.parquet(folder).where(F.col("outcome") == "accepted")
+    return rows.drop("outcome", "batch_id", reason)
+
+
+def rejected_batches(spark: SparkSession, folder: str) -> DataFrame:
+    rows = spark.read.parquet(folder).where(F.col("outcome") == "rejected")
+    return rows.drop("outcome", "batch_id")
+
+
 def all_batches(spark: SparkSession, folder: str) -> DataFrame:
     """Everything ``batch_folder`` saved, with ``batch_id``."""
     return spark.read.parquet(folder)
 
 
 def latest_batch(spark: SparkSession, folder: str) -> DataFrame:
-    """The newest batch: for complete mode, the whole current report. Starts a small job."""
-    saved = all_batches(spark, folder)
-    newest = saved.agg(F.max("batch_id")).first()[0]
-    return saved.where(F.col("batch_id") == F.lit(newest)).drop("batch_id")
+    """The newest complete batch: for complete mode, the whole current report.
+
+    Found from the folder's names; no older batch is opened.
+    """
+    return spark.read.parquet(f"{folder}/batch_id={_complete(spark, folder, 'batch_id')[-1]}")
 
 
-def latest_per_key(spark: SparkSession, folder: str, *keys: str) -> DataFrame:
-    """The newest row per key: for update mode, whose batches hold only what changed."""
-    saved = all_batches(spark, folder)
+def latest_per_key(
+    spark: SparkSession, folder: str, *keys: str, through: int | None = None
+) -> DataFrame:
+    """The newest row per key: for update mode, whose batches hold only what changed.
+
+    Reads the newest base that ``folded_batches`` stored, if any, and the batches after it.
+    """
+    batches = _complete(spark, folder, "batch_id")
+    bases = _complete(spark, folder + BASE, "through")
+    if through is not None:
+        batches = [b for b in batches if b <= through]
+        bases = [b for b in bases if b < through]
+    parts = [f"{folder}/batch_id={b}" for b in batches if not bases or b > bases[-1]]
+    saved = spark.read.option("basePath", folder).parquet(*parts) if parts else None
+    if bases:
+        base = spark.read.parquet(f"{folder}{BASE}/through={bases[-1]}")
+        base = base.withColumn("batch_id", F.lit(bases[-1]))
+        saved = base if saved is None else saved.unionByName(base)
     rest = [c for c in saved.columns if c not in {*keys, "batch_id"}]
-    newest = F.max_by(F.struct(*rest), "batch_id").alias("newest")
-    return saved.groupBy(*keys).agg(newest).select(*keys, "newest.*")
+    # One plain value each keeps the aggregate in a hash table.
+    return saved.groupBy(*keys).agg(*[F.max_by(c, "batch_id").alias(c) for c in rest])
+
+
+def _complete(spark: SparkSession, folder: str, name: str) -> list[int]:
+    """Numbers of the sub-folders ``name=number`` whose write ended, ascending."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(path):
+        return []
+    found = []
+    for entry in store.listStatus(path):
+        label, _, number = entry.getPath().getName().partition("=")
+        done = spark._jvm.org.apache.hadoop.fs.Path(entry.getPath(), "_SUCCESS")
+        if label == name and store.exists(done):
+            found.append(int(number))
+    return sorted(found)
 
 
 def _writer(

@@ -14,6 +14,7 @@ from millrace.operators.joins import (
     BROADCAST_ROWS,
     SALTS,
     fits_broadcast,
+    salted_join,
 )
 
 
@@ -26,24 +27,22 @@ def enrich_stream(
     fallback: str = UNMAPPED,
     max_rows: int = BROADCAST_ROWS,
     max_bytes: int = BROADCAST_BYTES,
+    hot: Sequence[tuple] = (),
     salts: int = SALTS,
 ) -> DataFrame:
-    """``joins.enrich`` for a stream. Starts a job that measures the lookup.
+    """``joins.enrich`` for a stream. Starts a job that looks at no more of the lookup than decides.
 
-    AQE leaves stream batches alone, so skew is settled when the query is defined: a lookup that
-    measures small is broadcast, and beside a larger one every key's rows are spread over
-    ``salts`` partitions, with the lookup repeated for each. A lookup that has outgrown the bound
-    by the next start changes the plan, though not its result or its state; ``max_rows=0`` fixes
-    the choice where ``require_boundary`` compares plans.
+    A lookup that measures small is broadcast; a larger one is joined by shuffle. AQE leaves stream
+    batches alone, so name keys known to be ``hot``: beside a larger lookup their rows are spread
+    over ``salts`` partitions each, and only their lookup rows are repeated. A lookup that
+    outgrows the bound changes neither the result nor, without hot keys, what ``require_boundary``
+    compares.
     """
     pairs = lookup.select(on, label)
     if fits_broadcast(pairs, max_rows, max_bytes):
         joined = rows.join(F.broadcast(pairs), on=on, how="left")
+    elif hot:
+        joined = salted_join(rows, pairs, on, "left", salts=salts, hot=hot)
     else:
-        names = [F.col(f"`{c}`") for c in rows.columns]
-        slot = F.pmod(F.xxhash64(*names, F.spark_partition_id()), F.lit(salts)).cast("int")
-        every = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-        joined = rows.withColumn("_salt", slot).join(
-            pairs.withColumn("_salt", every), on=[on, "_salt"], how="left"
-        )
+        joined = rows.join(pairs, on=on, how="left")
     return joined.select(*keep, or_else(F.col(label), fallback).alias(label))

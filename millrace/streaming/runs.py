@@ -13,12 +13,16 @@ from pyspark.sql.streaming import StreamingQuery
 from millrace.plans.reading import plan_text
 
 AVAILABLE_NOW = {"availableNow": True}
-DEFAULT_WAIT_SECONDS = 3600
 
 
-def finish(query: StreamingQuery, seconds: float = DEFAULT_WAIT_SECONDS) -> StreamingQuery:
-    """Wait for a query that ends by itself; stop it and raise if it does not end in time."""
-    if not query.awaitTermination(seconds):
+def finish(query: StreamingQuery, seconds: float | None = None) -> StreamingQuery:
+    """Wait for a query that ends by itself, however long its backlog takes.
+
+    Given ``seconds``, stop it and raise if it does not end in time.
+    """
+    if seconds is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(seconds):
         query.stop()
         raise TimeoutError(f"query {query.name or query.id} still ran after {seconds} s")
     return query
@@ -50,11 +54,22 @@ def stop_all(spark: SparkSession) -> None:
 
 
 def plan_fingerprint(stream: DataFrame) -> str:
-    """A short mark of what a streaming frame computes; equal for equal transformations."""
-    analysed = plan_text(stream, "extended").split("== Analyzed Logical Plan ==")[1]
-    analysed = analysed.split("== Optimized Logical Plan ==")[0]
-    without_ids = re.sub(r"#\d+L?", "", analysed)
-    return hashlib.sha256(without_ids.encode()).hexdigest()
+    """A short mark of what a streaming frame computes; equal for equal transformations.
+
+    Taken from the whole plan, however many columns it has. Join hints play no part, so a lookup
+    that outgrows a broadcast leaves the mark as it was.
+    """
+    conf, whole = stream.sparkSession.conf, "spark.sql.debug.maxToStringFields"
+    before = conf.get(whole)
+    conf.set(whole, str(2**31 - 1))
+    try:
+        text = plan_text(stream, "extended")
+    finally:
+        conf.set(whole, before)
+    analysed = text.split("== Analyzed Logical Plan ==")[1].split("== Optimized Logical Plan ==")[0]
+    steps = [line.lstrip(" :+-") for line in re.sub(r"#\d+L?", "", analysed).splitlines()]
+    marked = [step for step in steps if not step.startswith("ResolvedHint")]
+    return hashlib.sha256("\n".join(marked).encode()).hexdigest()
 
 
 def remember_boundary(stream: DataFrame, folder: str, arrival: int) -> None:
@@ -76,9 +91,14 @@ def require_boundary(stream: DataFrame, folder: str, after: int) -> None:
     if last["arrival"] != after:
         raise ValueError(f"the stream was left after arrival {last['arrival']}, not {after}")
     if last["fingerprint"] != plan_fingerprint(stream):
-        raise ValueError("the transformations changed; start over with a fresh checkpoint")
+        raise ValueError("another computation wrote this checkpoint; take a new folder")
+
 
+def run_now(start: Callable[[], StreamingQuery], seconds: float | None = None) -> dict:
+    """Start a query made with ``AVAILABLE_NOW``, wait for its end and return its status.
 
-def run_now(start: Callable[[], StreamingQuery], seconds: float = DEFAULT_WAIT_SECONDS) -> dict:
-    """Start a query made with ``AVAILABLE_NOW``, wait for its end and return its status."""
-    return status(finish(start(), seconds))
+    ``run_rows`` are the rows of all its batches still remembered (a hundred, if not set).
+    """
+    query = finish(start(), seconds)
+    rows = sum(progress["numInputRows"] for progress in query.recentProgress)
+    return {**status(query), "run_rows": rows}

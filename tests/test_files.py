@@ -58,11 +58,31 @@ def test_few_files(spark, tmp_path):
 def test_an_arrival_is_published_once(raw, tmp_path):
     landing = str(tmp_path / "landing")
     files.publish_arrival(raw, landing, "01")
-    with pytest.raises(AnalysisException):
+    with pytest.raises(FileExistsError):
         files.publish_arrival(raw, landing, "01")
     assert raw.sparkSession.read.parquet(f"{landing}/*").count() == 11
 
 
+def test_a_failed_delivery_can_be_repeated_and_is_never_seen(raw, tmp_path):
+    landing = str(tmp_path / "landing")
+    files.publish_arrival(raw, landing, "01")
+    broken = raw.withColumn("sale_id", F.raise_error(F.lit("lost on the way")))
+    with pytest.raises(Exception, match="lost on the way"):
+        files.publish_arrival(broken, landing, "02")
+    assert raw.sparkSession.read.parquet(f"{landing}/*").count() == 11
+    files.publish_arrival(raw, landing, "02")
+    assert raw.sparkSession.read.parquet(f"{landing}/*").count() == 22
+
+
+def test_other_rows_read_back_are_noticed(spark, tmp_path):
+    from millrace.operators.quality import row_marks
+
+    marks = [f.agg(*row_marks(f)).first() for f in (spark.range(9), spark.range(9).orderBy(F.desc("id")), spark.range(1, 10))]  # noqa: E501
+    assert marks[0] == marks[1] != marks[2]
+    mapped = spark.sql("SELECT map('a', id, 'b', 2) AS m FROM range(5)")
+    assert files.write_verified(mapped, str(tmp_path / "maps")).count() == 5
+
+
 def test_scratch_uses_the_folder_the_session_names(spark):
     named = spark.conf.get("spark.checkpoint.dir")
     assert scratch.shared_folder(spark) == named

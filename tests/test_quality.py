@@ -80,6 +80,21 @@ def test_row_differences_count_copies(spark):
         quality.row_differences(first, second.drop("v"))
 
 
+def test_copies_of_a_hot_row_leave_through_many_tasks(spark):
+    first = spark.range(200_000).select(F.when(F.col("id") < 150_000, -1).otherwise(F.col("id")).alias("k"))
+    more = quality.surplus_rows(first, spark.createDataFrame([(-1,), (-1,), (150_001,)], "k BIGINT"))
+    sizes = [r["count"] for r in more.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 199_997 and max(sizes) < 100_000
+    assert more.where("k = -1").count() == 149_998
+
+
+def test_totals_kept_sees_every_digit(spark):
+    fine = spark.sql("SELECT CAST(1.004 AS DECIMAL(10,3)) AS amount")
+    coarse = spark.sql("SELECT CAST(1.001 AS DECIMAL(12,4)) AS total")
+    found = quality.totals_kept(fine, coarse).first()
+    assert str(found["difference"]) == "0.0030"
+
+
 def test_report_differences(spark):
     first = spark.createDataFrame([("x", 1), ("y", 2)], "category STRING, sales INT")
     assert quality.same_report(first, first.orderBy("category"))
