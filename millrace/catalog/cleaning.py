@@ -51,11 +51,12 @@ def project_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def project_derived(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = data.table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_size")
     return reshape_columns(
-        data.sales(spark, sf_dir),
-        add={"clean_key": lookup_key(F.col("product_id"))},
-        rename={"amount_raw": "source_amount"},
-        drop=["sold_at_raw"],
+        parts,
+        add={"footprint": F.col("p_size") * F.col("p_size")},
+        rename={"p_brand": "maker"},
+        drop=["p_name"],
     )
 
 
@@ -199,10 +200,8 @@ WHERE reject_reason IS NOT NULL GROUP BY reject_reason"""
   CAST(0 AS BIGINT) AS rejected_rows FROM enriched WHERE category = 'building'"""
     ),
     "project_names": "SELECT o_orderkey, o_totalprice FROM orders",
-    "project_derived": with_sales(
-        """SELECT sale_id, product_id, amount_raw AS source_amount,
-  upper(trim(product_id)) AS clean_key FROM sales"""
-    ),
+    "project_derived": """SELECT p_partkey, p_brand AS maker, p_size, p_size * p_size AS footprint
+FROM part""",
     "filter_gt": "SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice > 250000",
     "filter_eq": "SELECT p_partkey, p_name, p_type FROM part WHERE p_type = 'PROMO'",
     "filter_flag": "SELECT p_partkey, p_size FROM part WHERE p_size > 25",

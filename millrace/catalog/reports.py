@@ -185,7 +185,7 @@ def few_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = files.write_in_files(report, fresh_folder(spark, "few"), 2)
     stored = tables.read_parquet(spark, folder)
     return stored.select(F.input_file_name().alias("file")).agg(
-        F.count(F.lit(1)).alias("rows"), (F.count_distinct("file") <= 2).alias("few_files")
+        F.count(F.lit(1)).alias("rows"), (F.count_distinct("file") == 2).alias("few_files")
     )
 
 

@@ -47,7 +47,7 @@ def write_csv(frame: DataFrame, path: str) -> str:
 
 
 def write_in_files(frame: DataFrame, path: str, files: int) -> str:
-    """Write a small report in exactly this many files.
+    """Write a small report in this many files (fewer only if it has fewer rows).
 
     The result is redistributed after it is computed, so the work above keeps all its tasks
     (merging partitions instead would leave that work to as many tasks as there are files). For

@@ -96,9 +96,9 @@ def test_other_column_names(raw):
 def test_reshape_columns(raw):
     shaped = cleaning.reshape_columns(
         raw,
-        add={"clean_key": ex.lookup_key(F.col("product_id"))},
-        rename={"amount_raw": "source_amount"},
+        add={"key_text": ex.lookup_key(F.col("product_id"))},
+        rename={"amount_raw": "as_delivered"},
         drop=["sold_at_raw"],
     )
-    assert shaped.columns == ["sale_id", "product_id", "source_amount", "clean_key"]
+    assert shaped.columns == ["sale_id", "product_id", "as_delivered", "key_text"]
     assert shaped.count() == raw.count()
