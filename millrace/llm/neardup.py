@@ -190,13 +190,17 @@ def _verified(pairs: DataFrame, sketch: DataFrame, threshold: float) -> DataFram
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents close in order, of one bucket and different classes."""
+    last = [np.zeros(0, np.int64)] * 4  # the rows before a batch that it still meets
     for batch in batches:
-        band, key, doc, name = (batch.column(i).to_numpy() for i in range(4))
+        own = [batch.column(i).to_numpy().astype(np.int64) for i in range(4)]
+        band, key, doc, name = rows = [np.concatenate(x) for x in zip(last, own, strict=True)]
         found = []
         for d in range(1, NEIGHBOURS + 1):
             meet = (band[d:] == band[:-d]) & (key[d:] == key[:-d]) & (name[d:] != name[:-d])
             at = np.flatnonzero(meet)
+            at = at[at + d >= len(last[0])]
             found.append((np.minimum(doc[at], doc[at + d]), np.maximum(doc[at], doc[at + d])))
+        last = [x[-NEIGHBOURS:] for x in rows]
         a, b = (np.concatenate(x) for x in zip(*found, strict=True))
         yield pa.record_batch([pa.array(a), pa.array(b)], names=["a", "b"])
 
