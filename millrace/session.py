@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
+
 from pyspark.sql import SparkSession
 
+_shipped: set[str] = set()
+
 SETTINGS = {
     # Sale times are UTC texts; parsing and calendar days follow the session zone.
     "spark.sql.session.timeZone": "UTC",
@@ -27,3 +33,15 @@ def prepare(spark: SparkSession) -> SparkSession:
     for name, value in SETTINGS.items():
         spark.conf.set(name, value)
     return spark
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Hand this package to the session's Python workers, once, wherever they run."""
+    application = spark.sparkContext.applicationId
+    if application not in _shipped:
+        package = os.path.dirname(os.path.abspath(__file__))
+        archive = os.path.join(tempfile.mkdtemp(prefix="millrace-"), "millrace")
+        files = shutil.make_archive(archive, "zip", os.path.dirname(package), os.path.basename(package))
+        spark.sparkContext.addPyFile(files)
+        _shipped.add(application)
+    return spark
