@@ -40,3 +40,13 @@ def cut_lineage(frame: DataFrame, purpose: str = "cut") -> DataFrame:
     folder = fresh_folder(frame.sparkSession, purpose)
     frame.write.mode("errorifexists").parquet(folder)
     return frame.sparkSession.read.schema(frame.schema).parquet(folder)
+
+
+def discard(frame: DataFrame) -> None:
+    """Delete the files of a frame that ``cut_lineage`` gave and that nothing will read again."""
+    spark = frame.sparkSession
+    for folder in {file.rsplit("/", 1)[0] for file in frame.inputFiles()}:
+        if "/millrace/" not in folder:
+            raise ValueError(f"{folder} is no intermediate result")
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

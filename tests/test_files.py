@@ -92,6 +92,17 @@ def test_scratch_uses_the_folder_the_session_names(spark):
     assert cut.agg(F.sum("y")).first()[0] == 20
 
 
+def test_only_intermediate_results_are_discarded(spark, tmp_path):
+    cut = scratch.cut_lineage(spark.range(5))
+    scratch.discard(cut)
+    with pytest.raises(Exception, match="(?i)exist"):
+        spark.read.parquet(*cut.inputFiles()).count()
+    kept = spark.read.parquet(files.write_once(spark.range(5), str(tmp_path / "kept")))
+    with pytest.raises(ValueError, match="intermediate"):
+        scratch.discard(kept)
+    assert kept.count() == 5
+
+
 class _Session:
     """Just enough of a session to ask for its folder."""
 
