@@ -22,9 +22,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A document with a null id stays. Rows that share an id stay or go together.
     """
-    kept = neardup.classes(docs).where("kept and doc_id is not null").select("doc_id").distinct()
-    stays = docs.join(kept, "doc_id", "left_semi")
-    return stays.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    gone = neardup.classes(docs).where("not kept").select("doc_id").distinct()
+    return neardup.among(docs, cut_lineage(gone, "copies"), "left_anti").select(*docs.columns)
 
 
 def drop_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from millrace.llm import blocks as B
 from millrace.llm.components import components
 from millrace.llm.words import Words, mix
-from millrace.scratch import cut_lineage
+from millrace.scratch import cut_lineage, discard
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -33,6 +33,7 @@ BANDS, ROWS = 14, 3
 NEIGHBOURS = 4
 STEPS = 16  # a weight's unit is one sixteenth
 TABLE = 1 << 16
+SENT_IDS = 500_000  # ids sent to every task at most, 8 bytes each
 _SKETCH = "doc_id long, words_hash long, n_words long, bands array<long>, vector binary"
 
 
@@ -172,9 +173,19 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Dat
     return cut_lineage(found.applyInArrow(lambda a, b: _sketches(a, b, n_docs), _SKETCH), "sketches")
 
 
+def among(rows: DataFrame, ids: DataFrame, how: str = "left_semi") -> DataFrame:
+    """The rows whose doc_id is (``left_semi``) or is not (``left_anti``) among stored ids.
+
+    Up to ``SENT_IDS`` ids, which are counted, go to every task, so that the rows need no shuffle.
+    """
+    return rows.join(F.broadcast(ids) if ids.count() <= SENT_IDS else ids, "doc_id", how)
+
+
 def _verified(pairs: DataFrame, sketch: DataFrame, threshold: float) -> DataFrame:
     """The pairs (a, b) whose vectors are at least so similar, stored."""
-    vectors = sketch.select("doc_id", "vector")
+    pairs = cut_lineage(pairs, "pairs")
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    vectors = among(sketch.select("doc_id", "vector"), cut_lineage(ids, "compared"))
     one = vectors.select(F.col("doc_id").alias("a"), F.col("vector").alias("one"))
     other = vectors.select(F.col("doc_id").alias("b"), F.col("vector").alias("other"))
 
@@ -242,6 +253,7 @@ def classes(
     ordered = many.repartitionByRange("band", "key", "rest", "doc_id").sortWithinPartitions("band", "key", "rest", "doc_id")
     close = ordered.select("band", "key", "doc_id", "name").mapInArrow(_neighbours, "a long, b long").distinct()
     more = _verified(close, sketch, threshold)
+    discard(sketch)  # all that is still needed of it is stored
     if not more.isEmpty():
         named = components(links.union(more))
     named = named.select(F.col("node").alias("first"), "component")
