@@ -26,9 +26,9 @@ ROTATIONS = 4
 LEAF = 512  # vectors compared at a time
 ROUNDS = 6
 SETTLED = 0.01  # rounds end when fewer of all list entries change
-MEETING = 16  # listed, and listing, vectors that one vector brings together
-BEAM = 112
-HOP = 16  # vectors looked at in a hop
+MEETING = 20  # listed, and listing, vectors that one vector brings together
+BEAM = 208
+HOP = 26  # vectors looked at in a hop
 REVERSE = 32
 RANKED = 16
 CHUNK = 3000
