@@ -7,7 +7,7 @@ back. Whether a border lasts between two tokens depends on the two alone, so it
 pair. Each place is closed at most once, so a piece takes linear time however long it is.
 
 Pieces are those of the byte-level tokenizer's own pattern. Texts with characters outside the plain
-set of ``tokens.UNUSUAL`` are cut by the library, whose character classes decide there.
+set of ``tokens.unusual`` are cut by the library, whose character classes decide there.
 """
 
 from __future__ import annotations
@@ -22,24 +22,27 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from millrace.llm.tokens import KNOWN, UNUSUAL, library, public_path
+from millrace.llm.tokens import (
+    CONTRACTIONS,
+    KNOWN,
+    LETTERS,
+    NUMBERS,
+    SPACES,
+    byte_letters,
+    library,
+    public_path,
+    unusual,
+)
 
 PAIRS = 300_000
 ROWS = 128
 #: The byte-level tokenizer's own pattern, for plain text.
 PIECES = re.compile(
-    r"'(?:s|t|re|ve|m|ll|d)| ?[^\W\d_²³¹¼½¾]+| ?[0-9²³¹¼½¾]+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"
+    f" ?[{LETTERS}]+|{CONTRACTIONS}| ?[{NUMBERS}]+| ?[^{SPACES}{LETTERS}{NUMBERS}]+|"
+    f"[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+"
 )
 
 
-def byte_letters() -> list[str]:
-    """The letter that stands for each byte in a byte-level vocabulary."""
-    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    hidden = [b for b in range(256) if b not in set(shown)]
-    letters = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
-    return [letters[b] for b in range(256)]
-
-
 class Encoder:
     """Built from a byte-level BPE file; holds the tables and the ids of pieces met before."""
 
@@ -165,14 +168,14 @@ class Encoder:
         """Ids as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
-        if not UNUSUAL.search(text):
+        if not unusual(text):
             return self.plain(text)
         out = []
         for part in self.mark.split(text) if self.mark else [text]:
             if part in self.specials:
                 out.append(np.array([self.specials[part]], dtype="<u4").tobytes())
             elif part:
-                out.append(self.cut_by_library(part) if UNUSUAL.search(part) else self.plain(part))
+                out.append(self.cut_by_library(part) if unusual(part) else self.plain(part))
         return b"".join(out)
 
     def decode(self, ids: list[bytes]) -> list[bytes]:

@@ -17,10 +17,34 @@ from collections.abc import Iterator
 import numpy as np
 
 KNOWN = 600_000
-#: White space, printable ASCII and Latin letters up to U+024F, without the one that lower-cases to two.
-UNUSUAL = re.compile(r"[^\t\n\r\x20-\x7e\xa1-įı-ɏ]|<\|")
+#: What is plain: white space, printable ASCII, and Latin up to U+024F but for the letter that
+#: lower-cases to two.
+UNUSUAL = re.compile(r"[^\t\n\r\x20-\x7e\xa1-\u012f\u0131-\u024f]")
+PLAIN_BYTES = bytes([9, 10, 13, *range(0x20, 0x7F), *range(0xA1, 0x100)])
+LETTERS = "a-zA-Z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u02af\u2c65\u2c66"  # with the lower case of the latter
+NUMBERS = "0-9\xb2\xb3\xb9\xbc-\xbe"
+SPACES = r"\t\n\r "
+CONTRACTIONS = "'(?:s|t|re|ve|m|ll|d)"
 #: The word tokenizer's own pattern, for plain lower-case text.
-PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_²³¹¼½¾]+|[0-9²³¹¼½¾]|(?:[^\s\w]|_)+")
+PIECES = re.compile(f"[{LETTERS}]+|[{NUMBERS}]|{CONTRACTIONS}|[^{SPACES}{LETTERS}{NUMBERS}]+")
+
+
+def unusual(text: str) -> bool:
+    """Whether a text has characters that are not plain, or the start of a special token's mark."""
+    if "<|" in text:
+        return True
+    try:
+        return bool(text.encode("latin-1").translate(None, PLAIN_BYTES))
+    except UnicodeEncodeError:
+        return UNUSUAL.search(text) is not None
+
+
+def byte_letters() -> list[str]:
+    """The letter that stands for each byte in a byte-level vocabulary."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    letters = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+    return [letters[b] for b in range(256)]
 
 
 def public_path(name: str) -> str:
@@ -53,30 +77,35 @@ class WordIds:
 
     def __init__(self, path: str):
         self.path = path
+        self.model = library(path).model
+        self.letters = dict(enumerate(byte_letters()))
         self.known: dict[str, bytes] = {}
 
-    def fresh(self, pieces: list[str]) -> dict[str, bytes]:
-        found = library(self.path).encode_batch_fast(pieces, add_special_tokens=False)
-        return {p: np.array(e.ids, dtype="<u2").tobytes() for p, e in zip(pieces, found, strict=True)}
+    def fresh(self, piece: str) -> bytes:
+        """The ids of one piece, from the library's model alone."""
+        letters = piece.encode().decode("latin-1").translate(self.letters)
+        return np.array([t.id for t in self.model.tokenize(letters)], dtype="<u2").tobytes()
+
+    def whole(self, text: str) -> bytes:
+        ids = library(self.path).encode(text, add_special_tokens=False).ids
+        return np.array(ids, dtype="<u2").tobytes()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        cut = [None if t is None or UNUSUAL.search(t) else PIECES.findall(t.lower()) for t in texts]
-        known = self.known
-        got = [pieces and [*map(known.get, pieces)] for pieces in cut]
-        missing = {pieces[i] for pieces, ids in zip(cut, got, strict=True) if ids for i in _gaps(ids)}
-        found = self.fresh(list(missing))
-        for piece in list(found)[: max(0, KNOWN - len(known))]:
-            known[piece] = found[piece]
+        known, room = self.known, KNOWN
         out = []
-        for text, pieces, ids in zip(texts, cut, got, strict=True):
-            if ids:
+        for text in texts:
+            if not text:
+                out.append(b"")
+            elif unusual(text):
+                out.append(self.whole(text))
+            else:
+                pieces = PIECES.findall(text.lower())
+                ids = [*map(known.get, pieces)]
                 for i in _gaps(ids):
-                    ids[i] = found[pieces[i]]
+                    ids[i] = found = known.get(pieces[i]) or self.fresh(pieces[i])
+                    if len(known) < room:
+                        known[pieces[i]] = found
                 out.append(b"".join(ids))
-            elif text and pieces is None:
-                out.append(self.fresh([text])[text])
-            else:
-                out.append(b"")
         return out
 
 
