@@ -3,7 +3,7 @@
 The word tokenizer drops white space and encodes the pieces its pattern cuts out one by one, so a
 text's ids are those of its pieces in order. Pieces are kept with their ids up to ``KNOWN`` per
 worker; a full store stops growing and further pieces are encoded each time. Texts with characters
-outside ``PLAIN``, for which Python's character classes may differ from the tokenizer's, and texts
+that are not plain, for which Python's character classes may differ from the tokenizer's, and texts
 with the marks of special tokens are encoded whole by the library.
 """
 
