@@ -8,9 +8,9 @@ frequencies count all documents.
 Each of ``BANDS * ROWS`` samplings picks a shingle with a chance in proportion to its weight, alike in
 all documents; two documents pick alike with a chance equal to their weighted Jaccard similarity.
 Documents that agree in all rows of a band meet in a bucket. Every document is compared with the first
-of each of its buckets; where a bucket still holds several classes after that, its documents are
-ordered by their samples and neighbours of different classes compared. Pairs are verified on their full
-weight vectors. Texts of equal words are put together first and compared once.
+of each of its buckets; where a bucket still holds several classes after that, all its documents of
+different classes are compared, part by part. Pairs are verified on their full weight vectors. Texts of
+equal words are put together first and compared once.
 """
 
 from __future__ import annotations
@@ -30,7 +30,9 @@ from millrace.scratch import cut_lineage, discard
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 14, 3
-NEIGHBOURS = 4
+PART = 512  # documents of a bucket compared with one another at a time
+PART_BYTES = 4 << 20  # their packed vectors, about
+CHUNK_BYTES = 8 << 20
 STEPS = 16  # a weight's unit is one sixteenth
 TABLE = 1 << 16
 SENT_IDS = 500_000  # ids sent to every task at most, 8 bytes each
@@ -199,21 +201,105 @@ def _verified(pairs: DataFrame, sketch: DataFrame, threshold: float) -> DataFram
     return cut_lineage(joined.mapInArrow(check, "a long, b long"), "links")
 
 
-def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents close in order, of one bucket and different classes."""
-    last = [np.zeros(0, np.int64)] * 4  # the rows before a batch that it still meets
-    for batch in batches:
-        own = [batch.column(i).to_numpy().astype(np.int64) for i in range(4)]
-        band, key, doc, name = rows = [np.concatenate(x) for x in zip(last, own, strict=True)]
-        found = []
-        for d in range(1, NEIGHBOURS + 1):
-            meet = (band[d:] == band[:-d]) & (key[d:] == key[:-d]) & (name[d:] != name[:-d])
-            at = np.flatnonzero(meet)
-            at = at[at + d >= len(last[0])]
-            found.append((np.minimum(doc[at], doc[at + d]), np.maximum(doc[at], doc[at + d])))
-        last = [x[-NEIGHBOURS:] for x in rows]
-        a, b = (np.concatenate(x) for x in zip(*found, strict=True))
-        yield pa.record_batch([pa.array(a), pa.array(b)], names=["a", "b"])
+def _unit_links(
+    doc: np.ndarray, name: np.ndarray, part: np.ndarray, bands: np.ndarray, vectors: list[bytes], band: int, threshold: float
+) -> list[tuple[int, int]]:
+    """Links that join the classes of a unit, of which every two documents are compared.
+
+    Left out are pairs of one class, also by the links found so far, pairs that met in an earlier
+    band, pairs whose weights alone rule a link out and, if the unit has two parts, pairs within one.
+    """
+    unpacked = [_unpack_vector(v) for v in vectors]
+    first = np.concatenate(([0], np.cumsum([len(s) for s, _ in unpacked])))
+    keys, place = np.unique(np.concatenate([s for s, _ in unpacked]), return_inverse=True)
+    weight = np.concatenate([w for _, w in unpacked])
+    total = np.add.reduceat(weight, first[:-1])
+    own = np.zeros(len(keys), np.int64)
+    root = np.unique(name, return_inverse=True)[1]
+    between = (part != part[0]).any()
+    links = []
+    for i in range(len(doc) - 1):
+        meet = root != root[i]
+        meet[: i + 1] = False
+        if between:
+            meet &= part != part[i]
+        meet &= np.minimum(total, total[i]) >= threshold * np.maximum(total, total[i])
+        meet &= ~(bands[:, :band] == bands[i, :band]).any(axis=1)
+        at = np.flatnonzero(meet)
+        if not len(at):
+            continue
+        lengths = first[at + 1] - first[at]
+        heads = np.cumsum(lengths) - lengths
+        entry = np.arange(lengths.sum()) + np.repeat(first[at] - heads, lengths)
+        mine = slice(first[i], first[i + 1])
+        own[place[mine]] = weight[mine]
+        shared = np.add.reduceat(np.minimum(weight[entry], own[place[entry]]), heads)
+        own[place[mine]] = 0
+        for j in at[shared / (total[at] + total[i] - shared) >= threshold]:
+            if root[j] != root[i]:
+                links.append((int(min(doc[i], doc[j])), int(max(doc[i], doc[j]))))
+                root[root == root[j]] = root[i]
+    return links
+
+
+def _all_met(threshold: float):
+    """The links of every unit of a chunk."""
+
+    def run(chunk: pa.Table) -> pa.Table:
+        chunk = chunk.sort_by([("unit", "ascending"), ("doc_id", "ascending")])
+        unit, doc, name, part, band = (chunk[c].to_numpy() for c in ("unit", "doc_id", "name", "part", "band"))
+        bands = chunk["bands"].combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+        edges = np.flatnonzero(np.concatenate(([True], unit[1:] != unit[:-1], [True])))
+        links = []
+        for low, high in zip(edges[:-1], edges[1:], strict=True):
+            at = slice(low, high)
+            vectors = chunk["vector"].slice(low, high - low).to_pylist()
+            links += _unit_links(doc[at], name[at], part[at], bands[at], vectors, int(band[low]), threshold)
+        a, b = zip(*links, strict=True) if links else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return run
+
+
+def _between_classes(held: DataFrame, sketch: DataFrame, threshold: float) -> DataFrame:
+    """Links between documents of one bucket and different classes; every such pair is verified.
+
+    ``held``: (band, key, doc_id, size, name), stored. A class that fills ``PART`` documents or
+    ``PART_BYTES`` of vectors in a bucket is cut into parts of its own, the other classes into shared
+    ones. A unit is two parts of a bucket, or a shared one with itself; parts of one class never meet.
+    """
+    bucket = ["band", "key"]
+    n, size = F.col("n"), F.col("bytes")
+
+    def parts_of(documents, weight):
+        return F.greatest(F.ceil(documents / PART), F.ceil(weight / PART_BYTES)).cast("int")
+
+    by_class = held.groupBy(*bucket, "name").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"))
+    by_class = cut_lineage(by_class.withColumn("cuts", parts_of(n, size)), "shares")
+    small = F.col("cuts") == 1
+    mixed = by_class.groupBy(*bucket).agg(
+        F.count("*").alias("classes"), parts_of(F.sum(F.when(small, n)), F.sum(F.when(small, size))).alias("shared")
+    )
+    mixed = cut_lineage(mixed.where("classes > 1").drop("classes"), "mixed")
+    own = F.when(~small, F.col("name")).alias("own")
+    cuts = by_class.join(mixed, bucket).select(*bucket, "name", own, F.when(small, F.col("shared")).otherwise(F.col("cuts")).alias("cuts"))
+    part = F.xxhash64("own", F.pmod(F.xxhash64("doc_id", F.lit("part")), "cuts")).alias("part")
+    members = held.join(cut_lineage(cuts, "cuts"), [*bucket, "name"]).select(*bucket, "doc_id", "name", "own", "size", part)
+    members = cut_lineage(members, "members")
+    parts = cut_lineage(members.groupBy(*bucket, "part", "own").agg(F.sum("size").alias("bytes")), "parts")
+    others = parts.select(*bucket, F.col("part").alias("other"), F.col("own").alias("other_own"))
+    pairs = parts.join(others, bucket).where(
+        "part <= other and (own is null or other_own is null or own <> other_own)"
+    )
+    unit = F.xxhash64(*bucket, "part", "other").alias("unit")
+    units = cut_lineage(pairs.select(*bucket, F.explode(F.array_distinct(F.array("part", "other"))).alias("part"), unit), "units")
+    sent = units.join(parts, [*bucket, "part"]).agg(F.sum("bytes")).first()[0] or 0
+    chunks = max(16, -(-sent // CHUNK_BYTES))
+    placed = cut_lineage(members.join(units, [*bucket, "part"]).select("unit", "band", "doc_id", "name", "part"), "placed")
+    carried = placed.join(sketch.select("doc_id", "bands", "vector"), "doc_id")
+    carried = carried.withColumn("chunk", F.pmod("unit", F.lit(chunks)).cast("int"))
+    compared = carried.repartition(chunks, "chunk").groupBy("chunk")
+    return cut_lineage(compared.applyInArrow(_all_met(threshold), "a long, b long").distinct(), "links")
 
 
 def classes(
@@ -234,25 +320,18 @@ def classes(
         sketch.select("doc_id", *equal).join(firsts, equal).select("doc_id", "first").distinct(), "members"
     )
     unique = sketch.join(members.where("doc_id = first").select("doc_id").distinct(), "doc_id", "left_semi")
-    rows = cut_lineage(
-        unique.select("doc_id", "bands", F.posexplode("bands").alias("band", "key")).withColumn(
-            "rest", F.xxhash64(F.slice("bands", 1, 4))
-        ).select("doc_id", "band", "key", "rest"),
-        "bands",
-    )
+    size = F.octet_length("vector").cast("long").alias("size")
+    rows = cut_lineage(unique.select("doc_id", size, F.posexplode("bands").alias("band", "key")), "bands")
     buckets = rows.groupBy("band", "key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("last"), F.count("*").alias("n"))
     full = cut_lineage(buckets.where("a < last"), "buckets")
     met = rows.join(full, ["band", "key"])
     stars = met.where("doc_id > a").select("a", F.col("doc_id").alias("b")).distinct()
     links = _verified(stars, sketch, threshold)
     named = components(links)
-    # Buckets that still hold several classes: compare neighbours in the order of their samples.
-    label = F.coalesce("component", "doc_id")
-    many = rows.join(full.where("n > 2"), ["band", "key"]).join(named, F.col("doc_id") == F.col("node"), "left")
-    many = many.select("band", "key", "rest", "doc_id", label.alias("name"))
-    ordered = many.repartitionByRange("band", "key", "rest", "doc_id").sortWithinPartitions("band", "key", "rest", "doc_id")
-    close = ordered.select("band", "key", "doc_id", "name").mapInArrow(_neighbours, "a long, b long").distinct()
-    more = _verified(close, sketch, threshold)
+    # Buckets that still hold several classes: every two documents of different ones are compared.
+    held = rows.join(full.where("n > 2"), ["band", "key"]).join(named, F.col("doc_id") == F.col("node"), "left")
+    held = held.select("band", "key", "doc_id", "size", F.coalesce("component", "doc_id").alias("name"))
+    more = _between_classes(cut_lineage(held, "held"), unique, threshold)
     discard(sketch)  # all that is still needed of it is stored
     if not more.isEmpty():
         named = components(links.union(more))

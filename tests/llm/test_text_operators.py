@@ -384,6 +384,19 @@ def test_near_duplicates_in_a_large_group(spark):
     assert all(r.kept for r in rows if r.doc_id < 300)
 
 
+def test_near_duplicates_among_pages_of_one_template(spark):
+    """Pages of some sections of one manual: pairs of like pages in buckets of hundreds of unlike ones."""
+    draw = random.Random(9)
+    sections = [prose(i + 900, 14, 10**6) for i in range(24)]
+    pages = set()
+    while len(pages) < 400:
+        pages.add(tuple(sorted(draw.sample(range(24), 17))))
+    texts = [" ".join(sections[i] for i in page) for page in sorted(pages)]
+    draw.shuffle(texts)
+    rows = neardup.classes(table(spark, texts)).collect()
+    assert {r.doc_id: r.class_id for r in rows} == classes_by_brute_force(list(enumerate(texts)))
+
+
 def test_near_duplicates_of_odd_tables(odd_documents, no_documents):
     rows = neardup.classes(odd_documents).collect()
     assert len(rows) == odd_documents.count()
