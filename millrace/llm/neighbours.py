@@ -1,7 +1,8 @@
 """Approximate nearest neighbours: an NN-descent graph, searched greedily.
 
 The graph starts from cross-polytope buckets: vectors nearest to the same axis of a random rotation are
-compared among themselves, under several rotations. Then, round by round, each vector brings together
+compared among themselves, under several rotations, and once in groups drawn at random, so that no vector
+is left without a list. Then, round by round, each vector brings together
 the vectors that list it and that it lists (neighbours of neighbours), and every one keeps the nearest
 it has seen. A query starts from its own list and, hop by hop, looks at the lists of the nearest vectors
 not yet looked at, until all in its beam have been. Both run on rows (vector, list), joined by id;
@@ -19,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.vectors import matrix, unit, usable, usual_size
+from millrace.llm.words import mix
 from millrace.scratch import cut_lineage
 
 NEIGHBOURS = 32  # of a node in the graph
@@ -82,7 +84,7 @@ def _chunked(rows: DataFrame, by: str, chunks: int, column: str = "chunk") -> Da
 
 
 def _buckets(nodes: DataFrame, n: int, size: int) -> DataFrame:
-    """(node, short, leaf): a leaf per rotation. Large buckets are cut at random into leaves."""
+    """(node, short, leaf): a leaf per rotation and one at random. Large buckets are cut at random into leaves."""
     depth = 0 if n <= LEAF else max(1, round(np.log(2 * n / LEAF) / np.log(2 * size)))
     turns = 1 if depth == 0 else ROTATIONS
 
@@ -93,8 +95,9 @@ def _buckets(nodes: DataFrame, n: int, size: int) -> DataFrame:
             if not batch.num_rows:
                 continue
             x = _long(batch.column(1))
-            for turn, parts in enumerate(rotations):
-                key = np.full(len(x), turn, dtype=np.int64)
+            drawn = mix(batch.column(0).to_numpy().view(np.uint64)) % np.uint64(-(-n // LEAF))
+            for turn, parts in enumerate([*rotations, []] if depth else rotations):
+                key = drawn.astype(np.int64) if turn == turns else np.full(len(x), turn, dtype=np.int64)
                 for rotation in parts:
                     y = x @ rotation.astype(np.float32)
                     axis = np.abs(y).argmax(axis=1)
@@ -234,7 +237,9 @@ def search(nodes: DataFrame, lists: DataFrame, queries: DataFrame, n_queries: in
         left = _chunked(state, "query", chunks).repartition(chunks, "chunk").groupBy("chunk")
         return cut_lineage(left.cogroup(found.groupBy("chunk")).applyInArrow(_beam, _STATE), "beam")
 
-    start = queries.join(nodes, "node").join(lists, "node").select(
+    ids = F.coalesce("ids", F.array().cast("array<long>")).alias("ids")
+    sims = F.coalesce("sims", F.array().cast("array<float>")).alias("sims")
+    start = queries.join(nodes, "node").join(lists, "node", "left").select("node", "short", ids, sims).select(
         F.col("node").alias("query"), "short", "ids", "sims",
         F.transform("ids", lambda _: F.lit(False)).alias("done"),
     )

@@ -114,3 +114,19 @@ def test_nearest_of_odd_tables(odd_vectors):
     rows = [(r.query_id, r.rank, r.vec_id) for r in neighbours.nearest(odd_vectors).collect()]
     assert sorted(rows) == [(50, 1, 1), (50, 2, 2), (50, 3, 51), (50, 4, 52)]
     assert neighbours.nearest(odd_vectors.where("vec_id > 1000")).count() == 0
+
+
+def test_every_query_is_answered(spark):
+    """Outliers that stand alone under every rotation, and a table of one vector."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(0, 0.05, (900, 16)) + np.eye(16)[0]
+    for i in range(6):
+        x[50 * i] = -np.eye(16)[2 * i + 1] + 0.1 * np.eye(16)[2 * i + 2]
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id BIGINT, embedding ARRAY<DOUBLE>")
+    found = collections.Counter(r.query_id for r in neighbours.nearest(frame).collect())
+    assert found == dict.fromkeys(range(0, 900, 50), 5)
+    equal = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(60)], frame.schema)
+    rows = neighbours.nearest(equal).collect()
+    assert {(r.query_id, r.rank, r.vec_id) for r in rows} == {
+        *((0, i, i) for i in range(1, 6)), *((50, i + 1, i) for i in range(5))
+    }
