@@ -130,3 +130,16 @@ def test_every_query_is_answered(spark):
     assert {(r.query_id, r.rank, r.vec_id) for r in rows} == {
         *((0, i, i) for i in range(1, 6)), *((50, i + 1, i) for i in range(5))
     }
+
+
+def test_nearest_inside_a_large_group_of_near_copies(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=64) / 8 + rng.normal(0, 0.0045 / 8, (1500, 64))
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id BIGINT, embedding ARRAY<DOUBLE>")
+    found = collections.defaultdict(set)
+    for r in neighbours.nearest(frame).collect():
+        found[r.query_id].add(r.vec_id)
+    wanted = nearest_by_brute_force(x)
+    recall = sum(len(found[q] & set(wanted[q])) for q in wanted) / (5 * len(wanted))
+    print(f"recall {recall}")
+    assert recall >= 0.95
