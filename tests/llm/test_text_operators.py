@@ -318,6 +318,32 @@ def test_score_of_a_text_is_the_same_alone_and_in_a_block():
     assert np.allclose(together, alone, rtol=1e-4)
 
 
+def test_what_the_network_learns_from_grows(spark, monkeypatch):
+    monkeypatch.setattr(recurrent, "SAMPLE", 10)
+    monkeypatch.setattr(recurrent, "TRAINER_BYTES", 100, raising=False)
+    drawn, trained = [], recurrent._trained
+
+    def recorded(lexicon, sample, *more):
+        drawn.append((sample.count(), sample.select("trainer").distinct().count()))
+        return trained(lexicon, sample, *more)
+
+    monkeypatch.setattr(recurrent, "_trained", recorded)
+    texts = [prose(i, 12) for i in range(6000)]
+    rows = recurrent.scores(table(spark, texts)).collect()
+    assert len(rows) == 6000 and all(math.isfinite(r.score) for r in rows)
+    assert drawn[0][0] >= 30 and drawn[0][1] > 16
+
+
+def test_a_trainer_reads_all_of_its_documents(monkeypatch):
+    monkeypatch.setattr(recurrent, "UPDATES", 2, raising=False)
+    lexicon = recurrent.Lexicon(np.arange(1, 101, dtype=np.uint64), np.arange(100, 0, -1), 20, 6000, 130)
+    p = recurrent.initial(lexicon)
+    stream = np.full(recurrent.LANES * recurrent.WINDOW * 5 + 1, 3).reshape(-1)
+    stream[recurrent.WINDOW * 4 : recurrent.WINDOW * 5] = 70  # the last window of the first lane
+    after = recurrent.learn(p, lexicon, stream, 0.01)
+    assert (after["input"][70] != p["input"][70]).any()
+
+
 def test_scores_of_odd_tables(odd_documents, no_documents):
     rows = recurrent.scores(odd_documents).collect()
     assert len(rows) == odd_documents.count()
