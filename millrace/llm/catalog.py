@@ -5,7 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from millrace.llm import bpe, hamming, language, neardup, neighbours, packing, recurrent, secrets, sharding, substrings
+from millrace.llm import (
+    bpe,
+    frames,
+    hamming,
+    infill,
+    language,
+    neardup,
+    neighbours,
+    packing,
+    recurrent,
+    secrets,
+    sharding,
+    substrings,
+)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,6 +71,14 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
 
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    framed = frames.framed(documents(spark, sf_dir), carry=("doc_id",))
+    return infill.infilled(
+        framed,
+        results=("n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256"),
+    )
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_secret_scan": op2_secret_scan,
@@ -69,6 +90,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_language": op9_language,
     "op10_nn_descent": op10_nn_descent,
+    "op13_fill_in_middle": op13_fill_in_middle,
     "pipeline": corpus_pipeline.run,
 }
 #: The other results rest on token ids, learnt models or moves drawn by hash, which SQL cannot give.
@@ -102,6 +124,29 @@ counted AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
 SELECT vec_id, coalesce(any_value(n), 0) AS n_links, min(other) AS component_id,
   min(other) = vec_id AS kept
 FROM reached LEFT JOIN counted USING (vec_id) GROUP BY vec_id""",
+    "op13_fill_in_middle": r"""WITH u AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS told,
+    regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units
+  FROM documents),
+h AS (
+  SELECT doc_id, text, units, len(units) AS n,
+    list_transform([1, 9, 17, 25], lambda i: CAST('0x' || told[i:i + 7] AS BIGINT)) AS h FROM u),
+f AS (
+  SELECT doc_id, text, units, n, least(h[1] % (n + 1), h[2] % (n + 1)) AS low,
+    greatest(h[1] % (n + 1), h[2] % (n + 1)) AS high,
+    CASE WHEN text = '' OR regexp_matches(text, '<[PSM]>') OR h[3] % 100 >= 50 THEN 'plain'
+      WHEN h[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (
+  SELECT doc_id, text, n, form, coalesce(array_to_string(units[1:low], ''), '') AS prefix,
+    coalesce(array_to_string(units[low + 1:high], ''), '') AS middle,
+    coalesce(array_to_string(units[high + 1:n], ''), '') AS suffix FROM f)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+  CAST(CASE WHEN form <> 'plain' THEN length(prefix) END AS BIGINT) AS prefix_chars,
+  CAST(CASE WHEN form <> 'plain' THEN length(middle) END AS BIGINT) AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM p""",
 }
 if corpus_pipeline.ORACLE_SQL:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
