@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.llm.columns import free
 from millrace.llm.words import SPACE
 
 FRAME_BYTES = 1 << 16
@@ -152,4 +153,6 @@ def framed(docs: DataFrame, text: str = "text", carry: tuple[str, ...] | None =
             )
 
     schema = T.StructType(list(own)).add("frames", T.ArrayType(FRAME))
-    return docs.select(F.col(text).alias("framed"), *[F.col(f"`{f.name}`") for f in own]).mapInArrow(run, schema)
+    names = [f.name for f in own]
+    picked = docs.select(F.col(text).alias(free("framed", names)), *[F.col(f"`{n}`") for n in names])
+    return picked.mapInArrow(run, schema)

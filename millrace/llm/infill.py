@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.llm.columns import free
 from millrace.llm.frames import FRAME, FRAMES_ARROW, Frames
 
 # The marks before the prefix, the suffix and the middle.
@@ -146,7 +147,7 @@ def infilled(
     schema = T.StructType(list(own))
     for c in results:
         schema = schema.add(c, RESULTS[c])
-    picked = framed.select(
-        F.col(id_col).alias("drawn"), F.col("frames").alias("read"), *[F.col(f"`{f.name}`") for f in own]
-    )
+    names = [f.name for f in own]
+    read = [F.col(id_col).alias(free("drawn", names)), F.col("frames").alias(free("read", names))]
+    picked = framed.select(*read, *[F.col(f"`{n}`") for n in names])
     return picked.mapInArrow(run, schema)
