@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from millrace.llm import (
+    alignment,
     bpe,
     frames,
     hamming,
@@ -71,6 +72,11 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    results = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+    return alignment.aligned(documents(spark, sf_dir), results, carry=("doc_id",))
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     framed = frames.framed(documents(spark, sf_dir), carry=("doc_id",))
     return infill.infilled(
@@ -90,6 +96,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_language": op9_language,
     "op10_nn_descent": op10_nn_descent,
+    "op12_token_alignment": op12_token_alignment,
     "op13_fill_in_middle": op13_fill_in_middle,
     "pipeline": corpus_pipeline.run,
 }
