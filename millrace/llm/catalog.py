@@ -12,6 +12,7 @@ from millrace.llm import (
     hamming,
     infill,
     language,
+    licenses,
     neardup,
     neighbours,
     packing,
@@ -21,6 +22,8 @@ from millrace.llm import (
     substrings,
 )
 
+from millrace.llm.license_rules import CONFIDENCE, all_rules
+
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -72,6 +75,56 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    results = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+    return licenses.scan(documents(spark, sf_dir), results=results, carry=("doc_id",))
+
+
+def _license_sql() -> str:
+    """The rules as a table; each document beside those it has the words for, matches pair by pair."""
+
+    def quoted(text: str) -> str:
+        return "'" + text.replace("'", "''") + "'"
+
+    def row(rule: dict) -> str:
+        needs = ", ".join("[" + ", ".join(map(quoted, need)) + "]" for need in rule["needs"])
+        facts = (str(rule["rule"]), quoted(rule["label"]), str(rule["level"]), f"[{needs}]")
+        return f"({', '.join(facts)}, {quoted(licenses.pattern(rule['regex']))}, {CONFIDENCE[rule['level']]})"
+
+    rules = ",\n".join(map(row, all_rules()))
+    return rf"""WITH rules(rule, label, level, needs, pattern, sure) AS (VALUES
+{rules}),
+t AS (
+  SELECT row_number() OVER () AS r, doc_id, trim(regexp_replace(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', '  ', 'g')) AS s
+  FROM documents),
+w AS (SELECT r, doc_id, s, CASE WHEN s = '' THEN [] ELSE string_split(s, '  ') END AS words FROM t),
+m AS (
+  SELECT r, rule, label, level, sure, string_split(trim(
+    regexp_replace(' ' || s || ' ', pattern, ' ' || chr(1) || '\1' || chr(2) || ' ', 'g')), '  ') AS marked
+  FROM w JOIN rules ON len(list_filter(needs, lambda n: NOT list_has_any(n, words))) = 0
+    AND regexp_matches(' ' || s || ' ', pattern)),
+p AS (
+  SELECT r, rule, label, level, sure,
+    list_filter(range(len(marked)), lambda i: contains(marked[i + 1], chr(1))) AS first,
+    list_filter(range(len(marked)), lambda i: contains(marked[i + 1], chr(2))) AS last FROM m),
+d AS (SELECT r, rule, label, level, sure, unnest(first) AS first, unnest(last) AS last FROM p),
+base AS (
+  SELECT r, count(*) AS n, min(first) AS low, max(first) AS high, list_sort(list(DISTINCT label)) AS labels
+  FROM d WHERE level = 0 GROUP BY r),
+kept AS (
+  SELECT r, label, sure FROM d WHERE label <> '' AND (level = 0 OR NOT EXISTS (
+    SELECT 1 FROM d o WHERE o.r = d.r AND o.first <= d.first AND o.last >= d.last AND (o.level < d.level
+      OR (o.level = d.level AND (o.last - o.first > d.last - d.first
+        OR (o.last - o.first = d.last - d.first AND o.rule < d.rule))))))),
+shown AS (SELECT r, list_sort(list(DISTINCT label)) AS labels, max(sure) AS score FROM kept GROUP BY r)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_base,
+  CAST(low AS BIGINT) AS first_word, CAST(high AS BIGINT) AS last_word,
+  coalesce(array_to_string(base.labels, ','), '') AS base_labels,
+  coalesce(array_to_string(shown.labels, ','), '') AS labels, CAST(coalesce(score, 0) AS DOUBLE) AS score
+FROM w LEFT JOIN base USING (r) LEFT JOIN shown USING (r)"""
+
+
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     results = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
     return alignment.aligned(documents(spark, sf_dir), results, carry=("doc_id",))
@@ -96,6 +149,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_language": op9_language,
     "op10_nn_descent": op10_nn_descent,
+    "op11_license_scan": op11_license_scan,
     "op12_token_alignment": op12_token_alignment,
     "op13_fill_in_middle": op13_fill_in_middle,
     "pipeline": corpus_pipeline.run,
@@ -131,6 +185,7 @@ counted AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
 SELECT vec_id, coalesce(any_value(n), 0) AS n_links, min(other) AS component_id,
   min(other) = vec_id AS kept
 FROM reached LEFT JOIN counted USING (vec_id) GROUP BY vec_id""",
+    "op11_license_scan": _license_sql(),
     "op13_fill_in_middle": r"""WITH u AS (
   SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS told,
     regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units
