@@ -19,7 +19,8 @@ from millrace.functions.expressions import (
     parse_time,
     tidy_label,
 )
-from millrace.functions.fixed import BAD_AMOUNT, BAD_TIME, MISSING_KEY
+from millrace.functions.fixed import BAD_AMOUNT, BAD_TIME, MALFORMED_LINE, MISSING_KEY
+from millrace.sources.tables import CORRUPT
 
 
 @dataclass(frozen=True)
@@ -64,6 +65,24 @@ def explain_rejects(
     return frame.withColumn(reason, first_failure(checks))
 
 
+def explain_malformed(
+    records: DataFrame, raw_line: str = "raw_line", reason: str = "reject_reason"
+) -> DataFrame:
+    """Reject what ``tables.parsed_lines`` could not read, with its line in ``raw_line``.
+
+    This reason comes before one that is already there. Values read from part of a misfit are
+    blanked: only the line tells what it held.
+    """
+    misfit = F.col(CORRUPT).isNotNull()
+    earlier = F.col(reason) if reason in records.columns else F.lit(None).cast("string")
+    values = [c for c in records.columns if c not in (CORRUPT, reason)]
+    return records.select(
+        *[F.when(~misfit, F.col(f"`{c}`")).alias(c) for c in values],
+        F.col(CORRUPT).alias(raw_line),
+        F.when(misfit, F.lit(MALFORMED_LINE)).otherwise(earlier).alias(reason),
+    )
+
+
 def accepted(cleaned: DataFrame, reason: str = "reject_reason") -> DataFrame:
     """Rows nothing speaks against. A key the lookup does not know is no reason to reject."""
     return cleaned.where(F.col(reason).isNull())

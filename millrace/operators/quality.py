@@ -123,10 +123,11 @@ def totals_kept(
 ) -> DataFrame:
     """One row: the grand total before and after the grain changed, and what was lost.
 
-    Totals keep all their digits: both are compared in the wider scale of the two sums.
+    Totals keep all their digits: whole numbers are summed as decimals, and both sums are compared in
+    the wider scale of the two. Only a binary fraction on either side makes both doubles.
     """
-    before = fine.agg(F.sum(fine_measure).alias("total"))
-    after = coarse.agg(F.sum(coarse_measure).alias("total"))
+    before = fine.agg(F.sum(_exact(fine, fine_measure)).alias("total"))
+    after = coarse.agg(F.sum(_exact(coarse, coarse_measure)).alias("total"))
     kinds = [side.schema["total"].dataType for side in (before, after)]
     decimals = all(isinstance(kind, T.DecimalType) for kind in kinds)
     kind = T.DecimalType(38, max(k.scale for k in kinds)) if decimals else T.DoubleType()
@@ -145,6 +146,11 @@ def totals_kept(
     )
 
 
+def _exact(frame: DataFrame, measure: str) -> Column:
+    whole = isinstance(frame.schema[measure].dataType, T.IntegralType)
+    return F.col(measure).cast("decimal(20,0)") if whole else F.col(measure)
+
+
 def stored_once(stored: DataFrame, key: str = "sale_id") -> DataFrame:
     """One row: stored rows, distinct keys, and keys stored more than once."""
     per_key = stored.groupBy(key).agg(F.count(F.lit(1)).alias("copies"))

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, Observation
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from millrace.operators.quality import row_marks
 
@@ -60,15 +61,45 @@ def publish_arrival(frame: DataFrame, landing: str, name: str) -> str:
     """Deliver finished files to a landing folder as one arrival, at most once.
 
     An arrival is a sub-folder. It is written under a name that readers pass over and renamed when
-    complete, so a stream sees all of it or nothing (on stores that rename folders in one step), a
-    delivery that failed can be repeated, and a second delivery of a finished one is refused.
+    complete, so a stream sees all of it or nothing (on stores that rename folders in one step). Of
+    several deliverers one wins: the name is claimed by creating a file that must not exist, which
+    names the folder to be renamed. A delivery that failed before its claim can be repeated; one that
+    failed after it is finished by the next attempt, which is refused like any second delivery.
     """
     spark = frame.sparkSession
-    target = spark._jvm.org.apache.hadoop.fs.Path(f"{landing}/{name}")
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    target, claim = path(f"{landing}/{name}"), path(f"{landing}/_unfinished/_{name}.claim")
     store = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    if store.exists(target):
-        raise FileExistsError(f"{name} was delivered to {landing} before")
-    staged = write_once(frame, f"{landing}/_unfinished/{name}-{uuid.uuid4().hex}")
-    if store.exists(target) or not store.rename(spark._jvm.org.apache.hadoop.fs.Path(staged), target):
-        raise FileExistsError(f"{name} was delivered to {landing} meanwhile")
-    return f"{landing}/{name}"
+    if not store.exists(target) and not store.exists(claim):
+        staged = write_once(frame, f"{landing}/_unfinished/{name}-{uuid.uuid4().hex}")
+        if _claimed(spark, store, claim, staged):
+            store.rename(path(staged), target)
+            return f"{landing}/{name}"
+    if not store.exists(target):
+        _finish_claimed(spark, store, claim, target)
+    raise FileExistsError(f"{name} was delivered to {landing} before")
+
+
+def _claimed(spark: SparkSession, store, claim, staged: str) -> bool:
+    """Whether this call created the claim."""
+    try:
+        out = store.create(claim, False)
+    except Py4JJavaError as error:
+        if "AlreadyExists" in error.java_exception.getClass().getName() or store.exists(claim):
+            return False
+        raise
+    out.write(bytearray(staged.encode()))
+    out.close()
+    return True
+
+
+def _finish_claimed(spark: SparkSession, store, claim, target) -> None:
+    """Rename what an interrupted delivery had claimed; renaming twice moves nothing the second time."""
+    told = store.open(claim)
+    staged = spark._jvm.org.apache.commons.io.IOUtils.toString(told, "UTF-8")
+    told.close()
+    if not staged:
+        raise FileExistsError(f"{claim} was made and left empty; remove it to deliver again")
+    path = spark._jvm.org.apache.hadoop.fs.Path(staged)
+    if store.exists(path):
+        store.rename(path, target)

@@ -111,18 +111,24 @@ def split_by_reason(folder: str, reason: str = "reject_reason") -> Callable[[Dat
 
 
 def accepted_batches(spark: SparkSession, folder: str, reason: str = "reject_reason") -> DataFrame:
-    rows = spark.read.parquet(folder).where(F.col("outcome") == "accepted")
+    rows = all_batches(spark, folder).where(F.col("outcome") == "accepted")
     return rows.drop("outcome", "batch_id", reason)
 
 
 def rejected_batches(spark: SparkSession, folder: str) -> DataFrame:
-    rows = spark.read.parquet(folder).where(F.col("outcome") == "rejected")
+    rows = all_batches(spark, folder).where(F.col("outcome") == "rejected")
     return rows.drop("outcome", "batch_id")
 
 
 def all_batches(spark: SparkSession, folder: str) -> DataFrame:
-    """Everything ``batch_folder`` saved, with ``batch_id``."""
-    return spark.read.parquet(folder)
+    """Everything that finished batches saved, with ``batch_id``; raises if none has finished.
+
+    A batch whose write did not end is passed over: its rows come when it is repeated.
+    """
+    finished = _complete(spark, folder, "batch_id")
+    if not finished:
+        raise FileNotFoundError(f"no batch in {folder} has finished")
+    return spark.read.option("basePath", folder).parquet(*[f"{folder}/batch_id={b}" for b in finished])
 
 
 def latest_batch(spark: SparkSession, folder: str) -> DataFrame:

@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from millrace.sources.tables import parsed_lines
+
 
 def read_stream(
     spark: SparkSession,
@@ -26,6 +28,11 @@ def read_stream(
     return reader.load(path) if path is not None else reader.load()
 
 
+def record_arrivals(spark: SparkSession, landing: str, schema: StructType | str, **how) -> DataFrame:
+    """``tables.parsed_lines`` over the text files delivered to a landing folder."""
+    return parsed_lines(arrivals(spark, landing, "value STRING", "text"), schema, **how)
+
+
 def arrivals(
     spark: SparkSession,
     landing: str,

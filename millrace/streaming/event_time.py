@@ -23,6 +23,19 @@ def session_counts(stream: DataFrame, time: str, gap: str, *keys: str) -> DataFr
     return _flat(stream.groupBy(F.session_window(time, gap), *keys), "session_window", *keys)
 
 
+def busiest(stream: DataFrame, time: str, part: str, whole: str, *keys: str) -> DataFrame:
+    """Per long window and key the highest count of its short windows, and how many of these had rows.
+
+    Both windows stand in one query: a short window's own time carries the watermark on, and the long
+    one closes once it is past all short ones. Append mode only.
+    """
+    counts = stream.groupBy(F.window(time, part), *keys).agg(F.count(F.lit(1)).alias("events"))
+    again = counts.groupBy(F.window(F.window_time("window"), whole), *keys)
+    return again.agg(F.max("events").alias("busiest"), F.count(F.lit(1)).alias("parts")).select(
+        F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *keys, "busiest", "parts"
+    )
+
+
 def _flat(grouped, window: str, *keys: str) -> DataFrame:
     return grouped.agg(F.count(F.lit(1)).alias("events")).select(
         F.col(f"{window}.start").alias("window_start"),

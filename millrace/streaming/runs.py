@@ -67,9 +67,12 @@ def plan_fingerprint(stream: DataFrame) -> str:
     finally:
         conf.set(whole, before)
     analysed = text.split("== Analyzed Logical Plan ==")[1].split("== Optimized Logical Plan ==")[0]
-    steps = [line.lstrip(" :+-") for line in re.sub(r"#\d+L?", "", analysed).splitlines()]
-    marked = [step for step in steps if not step.startswith("ResolvedHint")]
-    return hashlib.sha256("\n".join(marked).encode()).hexdigest()
+    steps = [line.lstrip(" :+-") for line in analysed.splitlines()]
+    marked = "\n".join(step for step in steps if not step.startswith("ResolvedHint"))
+    # Ids differ from one session to the next; numbered as they appear, they still tell columns apart.
+    seen: dict[str, str] = {}
+    marked = re.sub(r"#\d+", lambda m: seen.setdefault(m[0], f"#{len(seen)}"), marked)
+    return hashlib.sha256(marked.encode()).hexdigest()
 
 
 def remember_boundary(stream: DataFrame, folder: str, arrival: int) -> None:
