@@ -4,8 +4,8 @@ Both models are of order one, over the characters a credential may hold. The ran
 the values that the patterns find in the documents, the ordinary model from all other tokens there;
 the labels come from the patterns, and the counts from all documents. A token (a maximal run of such
 characters) is a secret when it is long enough, has a digit and a letter, and its log-likelihood ratio
-is high enough in total and per character. Pattern spans always stay; tokens that touch one are not
-added again.
+is high enough in total and per character. Pattern spans always stay; a token inside one is not added
+again, one that goes beyond it is.
 """
 
 from __future__ import annotations
@@ -77,8 +77,9 @@ def transitions(docs: DataFrame, text: str = "text") -> np.ndarray:
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 texts = [t or "" for t in batch.column(0).slice(at, ROWS).to_pylist()]
-                secrets = {t[a:b] for t in texts for *_, a, b in base_spans(t)}
-                plain = [_without(t, base_spans(t)) for t in texts]
+                spans = [base_spans(t) for t in texts]
+                secrets = {t[a:b] for t, found in zip(texts, spans, strict=True) for *_, a, b in found}
+                plain = [_without(t, found) for t, found in zip(texts, spans, strict=True)]
                 for label, part in enumerate((plain, sorted(secrets))):
                     if part:
                         total[label] += np.bincount(_steps(_bytes(part)[0]), minlength=SYMBOLS**2)
@@ -124,6 +125,8 @@ def token_spans(texts: list[str], table: np.ndarray) -> list[list[tuple[int, int
     long = end - start >= LENGTH
     start, end = start[long], end[long]
     out: list[list[tuple[int, int]]] = [[] for _ in texts]
+    # Bytes and code points run on together, so a text of many tokens is decoded once.
+    of, at, points = -1, 0, 0
     for s, e in zip(start, end, strict=True):
         token = data[s:e]
         if not (DIGIT[token].any() and LETTER[token].any()):
@@ -131,11 +134,26 @@ def token_spans(texts: list[str], table: np.ndarray) -> list[list[tuple[int, int
         total = table[_steps(token)].sum()
         if total >= TOTAL and total >= MEAN * (e - s):
             i = int(np.searchsorted(offset, s, side="right")) - 1
-            first = len(data[offset[i] : s].tobytes().decode())
+            if i != of:
+                of, at, points = i, offset[i], 0
+            points += int(np.count_nonzero((data[at:s] & 0xC0) != 0x80))
+            at, first = s, points
             out[i].append((first, first + int(e - s)))
     return out
 
 
+def outside(tokens: list[tuple[int, int]], base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """The tokens, by start, that no base span, by start, holds whole: one sweep over both."""
+    out, reach, i = [], 0, 0
+    for start, end in tokens:
+        while i < len(base) and base[i][0] <= start:
+            reach = max(reach, base[i][2])
+            i += 1
+        if end > reach:
+            out.append((start, end))
+    return out
+
+
 def _joined(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[kind]}:{start}:{end}" for start, kind, end in spans)
 
@@ -176,7 +194,7 @@ def scan(docs: DataFrame, carry: tuple[str, ...] | None = None, id_col: str = "d
                 rows, covers = [], []
                 for value, tokens in zip(texts, token_spans(texts, table), strict=True):
                     base = [(s, k, e) for s, k, e, *_ in base_spans(value)]
-                    added = [(a, 3, b) for a, b in tokens if not any(s < b and a < e for s, _, e in base)]
+                    added = [(a, 3, b) for a, b in outside(tokens, base)]
                     every = sorted(base + added)
                     n = [sum(k == kind for _, k, _ in base) for kind in range(3)]
                     digest = hashlib.sha256(_joined(base).encode()).hexdigest()
