@@ -16,6 +16,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -62,14 +63,30 @@ def codes(x: np.ndarray, mean: np.ndarray, projection: np.ndarray) -> np.ndarray
     return np.packbits((x - mean) @ projection >= 0, axis=1)
 
 
+def _of_length(vectors: pa.Array, length: np.ndarray, d: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which vectors have ``d`` components, and these as unit rows."""
+    own = np.flatnonzero(length == d)
+    return own, unit(matrix(vectors.take(pa.array(own))))
+
+
 def _coded(groups: DataFrame, model) -> DataFrame:
-    """Every group's code, as eight bytes."""
+    """Every group's code, as eight bytes.
+
+    The rotation was learnt from vectors of the usual length. Others, which are compared among
+    themselves alone, get one drawn at random for their length.
+    """
 
     def run(batches):
         mean, projection = model.value
+        drawn = {len(mean): (mean, projection)}
         for batch in batches:
-            x = unit(matrix(batch.column(1)))
-            found = codes(x, mean, projection) if len(x) else np.zeros((0, 8), np.uint8)
+            length = pc.list_value_length(batch.column(1)).to_numpy(zero_copy_only=False)
+            found = np.zeros((batch.num_rows, 8), np.uint8)
+            for d in np.unique(length).tolist():
+                if d not in drawn:
+                    drawn[d] = learn_rotation(np.zeros((0, d)))
+                own, x = _of_length(batch.column(1), length, d)
+                found[own] = codes(x, *drawn[d])
             yield pa.record_batch(
                 [batch.column(0), batch.column(1), batch.column(2), batch.column(3),
                  pa.array([c.tobytes() for c in found], pa.binary())],
@@ -119,12 +136,13 @@ def _compare(tables: list[tuple[int, ...]], cosine: float):
         unit_id, rep = chunk["unit"].to_numpy(), chunk["rep"].to_numpy()
         copies, part, table = (chunk[c].to_numpy() for c in ("copies", "part", "table"))
         code = np.frombuffer(b"".join(chunk["code"].to_pylist()), np.uint8).reshape(-1, 8)
-        x = unit(matrix(chunk["embedding"]))
+        vectors = chunk["embedding"].combine_chunks()
         edges = np.flatnonzero(np.concatenate(([True], unit_id[1:] != unit_id[:-1], [True])))
         out_rep, out_n, out_a = [], [], []
         for low, high in zip(edges[:-1], edges[1:], strict=True):
             own = slice(low, high)
-            linked = _bucket_links(x[own], code[own], part[own], tables[table[low]], cosine)
+            x = unit(matrix(vectors.slice(low, high - low)))  # a unit's vectors are of one length
+            linked = _bucket_links(x, code[own], part[own], tables[table[low]], cosine)
             has = np.flatnonzero(linked.any(axis=1))
             if len(has):
                 out_rep.append(rep[own][has])
@@ -148,9 +166,9 @@ def near_vectors(
 
     Found links are all at or above ``cosine``; of those there are, a share is missed that falls with
     the angle (measured in the README). Equal vectors are put together first and counted, not
-    compared. Rows with a null label or id, with a vector that is null, zero or has null or
-    non-finite components, or of another length than most, link with nothing: n_links 0, a component
-    of their own. Rows that repeat an id count as copies. Further columns are ignored; an empty table
+    compared. Vectors link with those of their own length alone. Rows with a null label or id, with a
+    vector that is null, zero or has null or non-finite components link with nothing: n_links 0, a
+    component of their own. Rows that repeat an id count as copies. Further columns are ignored; an empty table
     gives no rows. ``table_bytes`` bytes of agreement make a bucket: 3 for labels of many millions.
 
     Starts jobs that count lengths and rows, fetch about ``SAMPLE`` vectors and store groups of equal
@@ -161,13 +179,13 @@ def near_vectors(
     )
     good = narrow.where(usable("embedding") & F.col("label").isNotNull() & F.col("vec_id").isNotNull())
     length = usual_size(good, "embedding")
-    good = good.where(F.size("embedding") == length)
     same = ["label", "embedding"]
     groups = cut_lineage(
         good.groupBy(*same).agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")), "groups"
     )
-    n = groups.count()
-    mean, projection = learn_rotation(unit(sampled(groups, "embedding", "rep", SAMPLE, n)) if n else np.zeros((0, max(1, length))))
+    usual = groups.where(F.size("embedding") == length)
+    n = usual.count()
+    mean, projection = learn_rotation(unit(sampled(usual, "embedding", "rep", SAMPLE, n)) if n else np.zeros((0, max(1, length))))
     model = rows.sparkSession.sparkContext.broadcast((mean, projection))
     coded = cut_lineage(_coded(groups, model), "codes")
     tables = list(combinations(range(8), table_bytes))
@@ -177,8 +195,8 @@ def near_vectors(
             for i, t in enumerate(tables)
         ]
     )
-    narrow_rows = coded.select("label", "rep", F.inline(keys))
-    bucket = ["label", "table", "key"]
+    narrow_rows = coded.select("label", F.size("embedding").alias("length"), "rep", F.inline(keys))
+    bucket = ["label", "length", "table", "key"]
     full = cut_lineage(
         narrow_rows.groupBy(*bucket).agg(F.count("*").alias("held")).where("held > 1"), "held"
     )
@@ -205,7 +223,7 @@ def near_vectors(
         (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("links"),
         F.coalesce("component", "rep").alias("component"),
     )
-    fits = usable("embedding") & (F.size("embedding") == length) & F.col("vec_id").isNotNull()
+    fits = usable("embedding") & F.col("vec_id").isNotNull()
     linked = narrow.select("vec_id", F.when(fits, F.col("label")).alias("label"), "embedding").join(
         told, (F.col("label") == F.col("of_label")) & (F.col("embedding") == F.col("of")), "left"
     )
