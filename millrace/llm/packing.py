@@ -171,8 +171,9 @@ def pack(
     One row per piece (``PIECES``; ``with_ids`` adds the ids as an array): the document, the tokens
     before the piece, its length and checksum, the document's tokens, and the piece's sequence and
     place there. ``weights`` gives target proportions by source; by default each source's share of
-    all tokens, so that all queues end together. The ``max_queues`` sources with most text have a
-    queue each, and all others share one. A null source is a source.
+    all tokens, so that all queues end together. The ``max_queues`` sources with most text and all
+    that have a weight have a queue each; the others share one, which has the sum of their shares, or
+    with ``weights`` none. A null source is a source.
 
     A null text counts as empty: its document is the end id alone. Null and repeated ids pass
     through. Further input columns are ignored. An empty table gives no rows. Starts jobs that sum
@@ -183,6 +184,7 @@ def pack(
     size = F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 1)
     most = narrow.groupBy("source").agg(size.alias("bytes")).orderBy(F.desc("bytes"), "source")
     names = [row["source"] for row in most.limit(max_queues).collect()]
+    names += [name for name in weights or () if name not in names]
     tokens = tokenized(narrow, path, names, end_id)
     sums = tokens.groupBy("queue", "chunk").agg(F.sum("n").alias("drawn"))
     before = Window.partitionBy("queue").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
