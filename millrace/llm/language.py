@@ -2,7 +2,8 @@
 
 Every language has a codeword of bits; for each bit a logistic classifier over hashed byte n-grams
 learns whether a text's language has it set. Up to seven languages get the exhaustive code (all ways
-to split them in two), more get a random code of ``RANDOM_BITS`` bits. A text's language is the
+to split them in two), more get a random code of ``RANDOM_BITS`` bits, of ``BITS_PER_DOUBLING`` for each
+doubling of their number where that is more. A text's language is the
 codeword with the least logistic loss summed over the bits, each bit weighted by how well its
 classifier did on the part of the sample it did not learn from. A text whose two best codewords lie
 close is flagged as ambiguous.
@@ -22,9 +23,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SAMPLE = 800  # labelled documents learnt from, per language, about
-LANGUAGES = 200  # languages learnt: those with most labelled documents
+SAMPLE_OF_ALL = 16_000  # of all languages: with more than twenty, each has an equal part of it
 DIMENSIONS = 1 << 15
 RANDOM_BITS = 63
+BITS_PER_DOUBLING = 12
 EPOCHS = 6
 AMBIGUOUS = 0.5
 UNKNOWN = "und"
@@ -55,8 +57,9 @@ def codewords(n: int, seed: int = 7) -> np.ndarray:
         splits = [[1] + [1 if (s >> i) & 1 else -1 for i in range(n - 1)] for s in range(2 ** (n - 1) - 1)]
         return np.array(splits, dtype=np.float32).T.reshape(n, -1)
     rng = np.random.default_rng(seed)
+    bits = max(RANDOM_BITS, BITS_PER_DOUBLING * int(n - 1).bit_length())
     while True:
-        code = rng.choice(np.array([-1, 1], dtype=np.float32), size=(n, RANDOM_BITS))
+        code = rng.choice(np.array([-1, 1], dtype=np.float32), size=(n, bits))
         if len(np.unique(code, axis=0)) == n and (abs(code.sum(axis=0)) < n).all():
             return code
 
@@ -119,19 +122,22 @@ def learnt_fold(id_col: str) -> Column:
 
 
 def fit(docs: DataFrame, fold: Column, text: str = "text", label: str = "lang", id_col: str = "doc_id") -> Model:
-    """Learn from about ``SAMPLE`` rows of each language in the fold, chosen by a hash of the id.
+    """Learn every label of the fold from about ``SAMPLE`` rows each, chosen by a hash of the id.
 
-    Texts are used whole; what reaches the driver of one is at most ``DIMENSIONS`` features.
+    All languages together have about ``SAMPLE_OF_ALL`` rows; of a rare one all rows are taken, at least
+    one of any that has letters. Texts are used whole; what reaches the driver of one is at most
+    ``DIMENSIONS`` features, some 8 kB, and a count per label.
     """
     known = docs.where(fold & F.col(label).isNotNull() & F.col(text).isNotNull())
     known = known.select(F.col(id_col).alias("id"), F.col(text).alias("text"), F.col(label).cast("string").alias("label"))
-    most = known.groupBy("label").count().orderBy(F.desc("count"), "label").limit(LANGUAGES).collect()
-    if not most:
+    sizes = known.groupBy("label").count().collect()
+    if not sizes:
         return train([], [])
-    size = {row["label"]: row["count"] for row in most}
-    share = F.create_map(*[F.lit(x) for k, n in size.items() for x in (k, min(1.0, SAMPLE / n))])
+    each = min(SAMPLE, max(1, SAMPLE_OF_ALL // len(sizes)))
+    shares = [(row["label"], min(1.0, each / row["count"])) for row in sizes]
+    shares = docs.sparkSession.createDataFrame(shares, "label string, share double")
     draw = F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1_000_000)) / 1_000_000
-    picked = known.where(draw < share[F.col("label")])
+    picked = known.join(F.broadcast(shares), "label").where(draw < F.col("share")).select("id", "text", "label")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
