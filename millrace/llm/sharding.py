@@ -1,11 +1,15 @@
 """Sharding by balanced label propagation.
 
 Linked documents start in shards drawn by hash and move, round by round, to the shard that holds most
-of their neighbours, as far as that shard has room. In even rounds a document listens only to
-neighbours before it, so that two neighbours don't swap for ever; in odd rounds to all. A last step
-makes the sizes exact: in every shard the linked documents come first, and what is over the shard's
-quota fills the others' vacancies. The numbers that place a row are sums over small chunks of rows, so
-no shard's rows are ever in one task.
+of their neighbours, as far as that shard has room once those have left that want to. Documents that
+follow the same neighbour are let in together or not at all, unless they alone exceed the room: then as
+many as fit. In even rounds a document listens only to neighbours before it, so that two neighbours
+don't swap for ever; in odd rounds to all.
+
+A last step makes the sizes exact: in every shard the linked documents come first, group by group, and
+what is over the shard's quota fills the others' vacancies in the same order. So a group is cut only
+where a quota or a vacancy ends, and one that fits no shard goes on in few others. The numbers that
+place a row are sums over small chunks of rows, so no shard's rows are ever in one task.
 """
 
 from __future__ import annotations
@@ -18,41 +22,60 @@ from millrace.scratch import cut_lineage
 SHARDS = 16
 ROUNDS = 4
 CHUNK_ROWS = 50_000
+SLACK = 0.1  # by which a shard may exceed its quota while documents move
 LAW = "rows"
 
 
-def propagate(links: DataFrame, nodes: int, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
+def propagate(
+    links: DataFrame, nodes: int, shards: int = SHARDS, rounds: int = ROUNDS, start: DataFrame | None = None
+) -> DataFrame:
     """(node, shard) for every node of the links (a, b), under quotas of ``nodes / shards`` rows.
 
-    Moves into a shard are thinned at random to the room it has, so quotas hold about; ``settle``
-    makes them exact. Loads and demands, one number per shard, are read by the driver each round.
+    ``start`` (node, shard) places nodes at first, instead of a hash. Moves into a shard are drawn by hash for the room it has, so quotas hold within about ``SLACK``;
+    ``settle`` makes them exact. Loads and demands, a number per shard, are read by the driver each
+    round. Links may repeat, go both ways or lead to themselves; without links there are no rows.
     """
     both = cut_lineage(
         links.select("a", "b").union(links.select("b", "a")).where("a <> b").distinct().toDF("node", "near"), "links"
     )
-    draw = F.pmod(F.xxhash64("node", F.lit("start")), F.lit(shards)).cast("int")
-    labels = cut_lineage(both.select("node").distinct().withColumn("shard", draw), "labels")
+    placed = F.pmod(F.xxhash64("node", F.lit("start")), F.lit(shards)).cast("int")
+    labels = both.select("node").distinct()
+    if start is not None:
+        labels = labels.join(start.select("node", F.col("shard").alias("given")), "node", "left")
+        placed = F.coalesce("given", placed)
+    labels = cut_lineage(labels.select("node", placed.alias("shard")), "labels")
     quota = -(-nodes // shards)
     for turn in range(rounds):
         heard = both if turn % 2 else both.where("near < node")
         of = labels.select(F.col("node").alias("near"), F.col("shard").alias("near_shard"))
-        votes = heard.join(of, "near").groupBy("node", F.col("near_shard").alias("vote")).count()
+        votes = heard.join(of, "near").groupBy("node", F.col("near_shard").alias("vote")).agg(
+            F.count("*").alias("count"), F.min("near").alias("lead")
+        )
+        first = F.struct("count", -F.col("vote"))
         best = votes.groupBy("node").agg(
-            F.max_by("vote", F.struct("count", -F.col("vote"))).alias("best"), F.max("count").alias("most")
+            F.max_by("vote", first).alias("best"), F.max("count").alias("most"), F.max_by("lead", first).alias("lead")
         )
-        own = votes.withColumnsRenamed({"vote": "shard", "count": "stay"})
+        own = votes.select("node", F.col("vote").alias("shard"), F.col("count").alias("stay"))
         wish = labels.join(best, "node", "left").join(own, ["node", "shard"], "left")
         wishes = F.col("best").isNotNull() & (F.col("most") > F.coalesce("stay", F.lit(0)))
         wish = cut_lineage(
-            wish.select("node", "shard", F.when(wishes, F.col("best")).alias("goal")), "wishes"
-        )
-        load = {r["shard"]: r["count"] for r in wish.groupBy("shard").count().collect()}
-        asked = {r["goal"]: r["count"] for r in wish.where("goal is not null").groupBy("goal").count().collect()}
+            wish.select("node", "shard", F.when(wishes, F.col("best")).alias("goal"), F.when(wishes, F.col("lead")).alias("lead")),
+            "wishes",
+        )
+        moving = wish.where("goal is not null")
+        stays = {r["shard"]: r["count"] for r in wish.where("goal is null").groupBy("shard").count().collect()}
+        asked = {r["goal"]: r["count"] for r in moving.groupBy("goal").count().collect()}
         if not asked:
             break
-        room = {s: max(0, quota - load.get(s, 0)) / n for s, n in asked.items()}
-        chance = F.create_map(*[F.lit(x) for s, c in room.items() for x in (s, min(1.0, c))])
-        dice = F.pmod(F.xxhash64("node", F.lit(f"move {turn}")), F.lit(1_000_000)) / 1_000_000
+        room = {s: max(0, int(quota * (1 + SLACK)) - stays.get(s, 0)) for s in asked}
+        of_goal = F.create_map(*[F.lit(x) for s, n in room.items() for x in (s, n)])
+        chance = F.create_map(*[F.lit(x) for s, n in asked.items() for x in (s, min(1.0, room[s] / n))])
+        # Followers of one neighbour share their dice, those that exceed the room by themselves don't.
+        large = moving.groupBy("goal", "lead").count().where(F.col("count") > of_goal[F.col("goal")])
+        large = cut_lineage(large.select("goal", "lead", F.lit(True).alias("alone")), "large")
+        wish = wish.join(large, ["goal", "lead"], "left")
+        drawn = F.when(F.col("alone"), F.col("node")).otherwise(F.col("lead"))
+        dice = F.pmod(F.xxhash64(drawn, F.lit(f"move {turn}")), F.lit(1_000_000)) / 1_000_000
         moves = F.col("goal").isNotNull() & (dice < chance[F.col("goal")])
         labels = cut_lineage(
             wish.select("node", F.when(moves, F.col("goal")).otherwise(F.col("shard")).alias("shard")), "labels"
@@ -66,9 +89,15 @@ def _step(position: Column, bounds: list[int]) -> Column:
 
 
 def settle(rows: DataFrame, nodes: int, shards: int = SHARDS) -> DataFrame:
-    """Rows (node, shard, linked, ...) in shards of sizes at most one apart, with a gapless slot."""
+    """Rows (node, shard, linked, lead, held, ...) in shards of sizes at most one apart, with a gapless slot.
+
+    ``lead`` names a row's group and ``held`` its size: a group's rows follow one another. Only one
+    that exceeds a chunk is dealt over several.
+    """
     chunks = max(1, -(-nodes // CHUNK_ROWS))
-    rows = rows.withColumn("chunk", F.pmod(F.xxhash64("node", F.lit("chunk")), F.lit(chunks)).cast("int"))
+    part = F.pmod(F.xxhash64("node"), F.ceil(F.col("held") / CHUNK_ROWS))
+    own_chunk = F.pmod(F.xxhash64("lead", part, F.lit("chunk")), F.lit(chunks)).cast("int")
+    rows = rows.withColumn("chunk", own_chunk)
     rows = cut_lineage(rows, "settling")
     place = ["shard", "late", "chunk"]
     rows = rows.withColumn("late", (~F.col("linked")).cast("int"))
@@ -81,7 +110,7 @@ def settle(rows: DataFrame, nodes: int, shards: int = SHARDS) -> DataFrame:
     free = [max(0, quota[s] - load.get(s, 0)) for s in range(shards)]
     over_before = [sum(over[:s]) for s in range(shards)]
     free_until = [sum(free[: s + 1]) for s in range(shards)]
-    inside = Window.partitionBy("chunk", "shard", "late").orderBy("node")
+    inside = Window.partitionBy("chunk", "shard", "late").orderBy("lead", "node")
     ranked = rows.withColumn("inside", F.row_number().over(inside) - 1).join(offsets, place)
     ranked = ranked.withColumn("rank", F.col("offset") + F.col("inside"))
 
@@ -95,7 +124,7 @@ def settle(rows: DataFrame, nodes: int, shards: int = SHARDS) -> DataFrame:
     taken = [min(load.get(s, 0), quota[s]) for s in range(shards)]
     moved_slot = at(taken, F.col("goal")) + F.col("spare") - at([u - f for u, f in zip(free_until, free, strict=True)], F.col("goal"))
     return ranked.select(
-        *[c for c in rows.columns if c not in ("shard", "late", "chunk", "linked")],
+        *[c for c in rows.columns if c not in ("shard", "late", "chunk", "linked", "lead", "held")],
         F.coalesce("goal", "shard").cast("int").alias("shard"),
         F.when(stays, F.col("rank")).otherwise(moved_slot).cast("long").alias("slot"),
     )
@@ -106,7 +135,8 @@ def by_equal_texts(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id"
 
     The law is ``rows``: counts at most one apart. A null text has no bytes and no links; size is the
     text's bytes plus 1. Null and repeated ids pass through; further columns are ignored; an empty
-    table gives no rows. Equal texts are found by two hashes and the size (128 bits in all); each
+    table gives no rows. Of shards with equal votes the smallest is taken; which rows of an oversized group
+    go together is drawn by hash. Equal texts are found by two hashes and the size (128 bits in all); each
     group is linked as a star around its first row.
     """
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
@@ -120,13 +150,19 @@ def by_equal_texts(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id"
     same = ["hash", "text_crc32", "size"]
     stars = rows.where("hash is not null").groupBy(*same).agg(F.min("node").alias("a"), F.count("*").alias("n"))
     stars = cut_lineage(stars.where("n > 1"), "stars")  # stored, so that a hot group's join can be split
-    links = rows.join(stars, same).where("node > a").select("a", F.col("node").alias("b"))
+    rows = cut_lineage(rows.join(stars, same, "left"), "grouped")
+    links = rows.where("node > a").select("a", F.col("node").alias("b"))
     nodes = rows.count()
-    labels = propagate(links, nodes, shards).withColumn("linked", F.lit(True))
+    # A group that exceeds a shard starts in as many as it needs, and has no reason to leave them.
+    ways = F.ceil(F.col("n") / max(1, nodes // shards))
+    first = F.xxhash64("a", F.lit("start")) + F.pmod(F.xxhash64("node", F.lit("start")), ways)
+    start = rows.where(ways > 1).select("node", F.pmod(first, F.lit(shards)).cast("int").alias("shard"))
+    labels = propagate(links, nodes, shards, start=start).withColumn("linked", F.lit(True))
     draw = F.pmod(F.xxhash64("node", F.lit("start")), F.lit(shards)).cast("int")
     started = rows.drop("hash").join(labels, "node", "left").select(
         "node", "doc_id", "size", "text_crc32",
         F.coalesce("shard", draw).alias("shard"), F.coalesce("linked", F.lit(False)).alias("linked"),
+        F.coalesce("a", "node").alias("lead"), F.coalesce("n", F.lit(1)).alias("held"),
     )
     return settle(started, nodes, shards).select(
         "doc_id", "size", "text_crc32", F.lit(LAW).alias("law"), "shard", "slot",
