@@ -7,7 +7,7 @@ combines the numbers of equal keys and answers every piece with one number per k
 order. The answers go back to the blocks, which read them beside their documents.
 
 Sorted keys are stored as differences, byte by byte in columns, compressed: the more keys a piece
-has, the fewer bytes each takes.
+has, the fewer bytes each takes. Numbers are an array with one entry a key, or ``width`` such arrays.
 """
 
 from __future__ import annotations
@@ -40,9 +40,10 @@ def pack(values: np.ndarray) -> bytes:
     return pa.compress(np.ascontiguousarray(columns), codec="zstd", asbytes=True)
 
 
-def unpack(data: bytes, n: int, dtype: type = np.int64) -> np.ndarray:
-    raw = pa.decompress(data, decompressed_size=8 * n, codec="zstd", asbytes=True)
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, n).T).view(dtype).ravel()
+def unpack(data: bytes, n: int, dtype: type = np.int64, width: int = 1) -> np.ndarray:
+    raw = pa.decompress(data, decompressed_size=8 * n * width, codec="zstd", asbytes=True)
+    values = np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, n * width).T).view(dtype).ravel()
+    return values if width == 1 else values.reshape(width, n)
 
 
 def text_bytes(docs: DataFrame, text: str = "text") -> int:
@@ -51,9 +52,12 @@ def text_bytes(docs: DataFrame, text: str = "text") -> int:
 
 
 def dealt(docs: DataFrame, total: int, id_col: str, text: str) -> DataFrame:
-    """The documents with a column ``block``, each block in one partition."""
+    """The documents with a column ``block``, each block in one partition.
+
+    Copies of a whole row, id included, spread as far as they come from several partitions.
+    """
     n = max(1, -(-total // BLOCK_BYTES))
-    block = F.pmod(F.xxhash64(F.col(id_col), F.col(text)), F.lit(n)).cast("int")
+    block = F.pmod(F.xxhash64(F.col(id_col), F.col(text), F.spark_partition_id()), F.lit(n)).cast("int")
     return docs.withColumn("block", block).repartition(n, "block")
 
 
@@ -66,9 +70,11 @@ def grouped_min(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.nd
     return keys[head], values[head]
 
 
-def ask(blocks: DataFrame, total: int, keys: Keys, combine: Combine, drop_bits: int = 0) -> DataFrame:
+def ask(
+    blocks: DataFrame, total: int, keys: Keys, combine: Combine, drop_bits: int = 0, width: int = 1
+) -> DataFrame:
     """The answers for each block, as ``ANSWER``; see ``pieces_of`` and ``answered``."""
-    return answered(pieces_of(blocks, total, keys, drop_bits), total, combine)
+    return answered(pieces_of(blocks, total, keys, drop_bits), total, combine, width)
 
 
 def bucket_count(total: int) -> int:
@@ -94,25 +100,25 @@ def pieces_of(blocks: DataFrame, total: int, keys: Keys, drop_bits: int = 0) ->
             if high > low:
                 part = found[low:high].copy()
                 part[1:] -= found[low : high - 1]
-                rows.append((block, bucket, high - low, pack(part), pack(numbers[low:high])))
+                rows.append((block, bucket, high - low, pack(part), pack(numbers[..., low:high])))
         columns = zip(*rows, strict=True) if rows else [[] for _ in _PIECE_SCHEMA]
         return pa.table([pa.array(list(c), f.type) for c, f in zip(columns, _PIECE_SCHEMA, strict=True)], _PIECE_SCHEMA)
 
     return blocks.groupBy("block").applyInArrow(cut, PIECE).repartition(buckets, "bucket")
 
 
-def opened(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def opened(table: pa.Table, width: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All keys and numbers of a bucket's pieces, one piece after the other, and where each starts."""
     edges = np.concatenate(([0], np.cumsum(table["n"].to_numpy())))
     every = np.empty(edges[-1], dtype=np.uint64)
-    numbers = np.empty(edges[-1], dtype=np.int64)
+    numbers = np.empty(edges[-1] if width == 1 else (width, edges[-1]), dtype=np.int64)
     for packed, values, low, high in zip(table["keys"], table["numbers"], edges[:-1], edges[1:], strict=True):
         np.cumsum(unpack(packed.as_py(), high - low, np.uint64), out=every[low:high])
-        numbers[low:high] = unpack(values.as_py(), high - low)
+        numbers[..., low:high] = unpack(values.as_py(), high - low, width=width)
     return every, numbers, edges
 
 
-def answered(pieces: DataFrame, total: int, combine: Combine) -> DataFrame:
+def answered(pieces: DataFrame, total: int, combine: Combine, width: int = 1) -> DataFrame:
     """The answers to all pieces, dealt like the blocks.
 
     ``combine`` takes all keys of a bucket in key order with their numbers, and gives an answer for
@@ -120,11 +126,11 @@ def answered(pieces: DataFrame, total: int, combine: Combine) -> DataFrame:
     """
 
     def answer(table: pa.Table) -> pa.Table:
-        every, numbers, edges = opened(table)
+        every, numbers, edges = opened(table, width)
         order = np.argsort(every, kind="stable")
-        replies = np.empty(len(every), dtype=np.int64)
-        replies[order] = combine(every[order], numbers[order])
-        packed = [pack(replies[a:b]) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+        replies = np.empty_like(numbers)
+        replies[..., order] = combine(every[order], numbers[..., order])
+        packed = [pack(replies[..., a:b]) for a, b in zip(edges[:-1], edges[1:], strict=True)]
         columns = [table["block"], table["bucket"], table["n"], pa.array(packed, pa.binary())]
         return pa.table([c.cast(f.type) for c, f in zip(columns, _ANSWER_SCHEMA, strict=True)], _ANSWER_SCHEMA)
 
@@ -132,11 +138,12 @@ def answered(pieces: DataFrame, total: int, combine: Combine) -> DataFrame:
     return pieces.groupBy("bucket").applyInArrow(answer, ANSWER).repartition(n_blocks, "block")
 
 
-def answers_of(table: pa.Table) -> np.ndarray:
+def answers_of(table: pa.Table, width: int = 1) -> np.ndarray:
     """All answers for one block, in the order of its sorted keys."""
     table = table.sort_by("bucket")
-    parts = [unpack(a.as_py(), n.as_py()) for a, n in zip(table["answers"], table["n"], strict=True)]
-    return np.concatenate(parts) if parts else np.zeros(0, np.int64)
+    parts = [unpack(a.as_py(), n.as_py(), width=width) for a, n in zip(table["answers"], table["n"], strict=True)]
+    none = np.zeros(0 if width == 1 else (width, 0), np.int64)
+    return np.concatenate(parts, axis=-1) if parts else none
 
 
 def group_heads(keys: np.ndarray) -> np.ndarray:

@@ -1,12 +1,14 @@
 """Substring dedup by relative Lempel-Ziv parsing of documents against indexed blocks.
 
 The documents are the reference of one another, cut into blocks of a few megabytes. A block's index
-holds, for each distinct run of ``window`` words, the smallest document with it. Every document is
-parsed against the indexes of all blocks at once: a factor starts at a word whose run also starts in
-an earlier document (one with a smaller id) and goes on, word by word, as long as the smallest such
-document stays the same. Runs that lie across the end of a factor are looked up like all others, so a
-copy put together from several sources is covered without gaps. The union of the factors is exactly
-the set of words in runs that an earlier document has.
+holds each distinct run of ``window`` words at its first place: the smallest document with it, and the
+word of that document it starts at. Every document is parsed against the indexes of all blocks at once.
+A factor starts at a word whose run stands in an earlier document (one with a smaller id), and grows
+greedily, word by word, as long as the next run's first place is the next word of the same source: so
+a factor is a copy of that many words of its source. Runs that lie across the end of a factor are
+looked up like all others; where one is found the next factor starts there, within the last words of
+the one before, so a copy put together from several sources is covered without gaps. The words that
+factors cover are removed: exactly those in runs that an earlier document has.
 """
 
 from __future__ import annotations
@@ -23,13 +25,10 @@ from millrace.llm.words import Words
 
 WINDOW = 13
 NONE = np.iinfo(np.int64).max
-FACTORS = T.ArrayType(
-    T.StructType(
-        [T.StructField("start", T.LongType()), T.StructField("length", T.LongType()), T.StructField("source", T.LongType())]
-    )
-)
+FACTOR = ("start", "length", "source", "source_start")
+FACTORS = T.ArrayType(T.StructType([T.StructField(name, T.LongType()) for name in FACTOR]))
 RESULTS = {"n_words": "long", "n_removed": "long", "kept_text": "string", "kept_sha256": "string", "factors": FACTORS}
-_FACTOR = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64()), ("source", pa.int64())]))
+_FACTOR = pa.list_(pa.struct([(name, pa.int64()) for name in FACTOR]))
 
 
 def _ids(table: pa.Table, id_col: str) -> np.ndarray:
@@ -37,17 +36,29 @@ def _ids(table: pa.Table, id_col: str) -> np.ndarray:
 
 
 def _runs(table: pa.Table, id_col: str, text: str, window: int):
-    """The words, where runs start, their hashes, and the id of each run's document."""
+    """The words, where runs start, their hashes, and each run's place: its document's id, its first word there."""
     words = Words(table[text])
     where, hashes = words.runs(window)
-    return words, where, hashes, _ids(table, id_col)[words.text_of[where]]
+    of = words.text_of[where]
+    return words, where, hashes, np.stack((_ids(table, id_col)[of], where - words.first[of]))
 
 
-def _least(keys: np.ndarray, docs: np.ndarray) -> np.ndarray:
-    """For each row the smallest document of its key, if that is smaller than the row's own."""
+def _first_places(keys: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, sorted, and the first place of each."""
+    order = np.lexsort((places[0], keys))  # stable: words of one text stay in order
+    order = order[B.group_heads(keys[order])]
+    return keys[order], places[:, order]
+
+
+def _least(keys: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """For each row the first place of its key, if that is in a smaller document than the row's own."""
+    if not len(keys):
+        return places
+    docs, at = places
     heads = B.group_heads(keys)
-    least = B.spread(np.minimum.reduceat(docs, heads), heads, len(keys)) if len(keys) else docs
-    return np.where(least < docs, least, NONE)
+    least = B.spread(np.minimum.reduceat(docs, heads), heads, len(keys))
+    start = np.minimum.reduceat(np.where(docs == least, at, NONE), heads)
+    return np.where(least < docs, (least, B.spread(start, heads, len(keys))), NONE)
 
 
 def _kept(words: Words, removed: np.ndarray) -> list[bytes]:
@@ -77,11 +88,11 @@ def remove_repeats(
     Columns: those of ``carry`` (by default all of the input), then ``results`` out of ``RESULTS``;
     an input column named like a result, or ``block``, is left out. ``kept_text`` is the text itself
     where nothing was removed, else the words that stay, joined by one space. A factor is (first
-    word, words, source document).
+    word, words, source document, the source's first word).
 
     A null text has no words and stays null where nothing was removed. A document with a null id
     comes after all others and is never a source; rows that share an id are no source for one
-    another. An empty table gives an empty one. Runs of words are compared by a 64-bit hash.
+    another, and a factor's source may be any of them. An empty table gives an empty one. Runs of words are compared by a 64-bit hash.
     Starts one job that sums the texts' sizes.
     """
     own = [f for f in docs.schema if f.name in (docs.columns if carry is None else carry)]
@@ -91,19 +102,18 @@ def remove_repeats(
     blocks = B.dealt(docs.select(*[f"`{c}`" for c in needed]), total, id_col, text)
 
     def index(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        _, _, hashes, ids = _runs(table, id_col, text, window)
-        return B.grouped_min(hashes, ids)
+        _, _, hashes, places = _runs(table, id_col, text, window)
+        return _first_places(hashes, places)
 
     def parse(left: pa.Table, right: pa.Table) -> pa.Table:
-        words, where, hashes, ids = _runs(left, id_col, text, window)
-        keys, local = B.grouped_min(hashes, ids)
-        source = np.minimum(local, B.answers_of(right))[np.searchsorted(keys, hashes)]
-        hit = source < ids
-        where, source = where[hit], source[hit]
-        cover = np.zeros(len(words.start) + 1, dtype=np.int64)
-        cover[where] += 1
-        cover[where + window] -= 1
-        removed = np.cumsum(cover[:-1]) > 0
+        words, where, hashes, places = _runs(left, id_col, text, window)
+        keys, local = _first_places(hashes, places)
+        other = B.answers_of(right, 2)
+        source = np.where(other[0] < local[0], other, local)[:, np.searchsorted(keys, hashes)]
+        hit = source[0] < places[0]
+        start, stop, source = _factors(words, where[hit], source[:, hit], window)
+        steps = np.bincount(start, minlength=len(words.start) + 1) - np.bincount(stop, minlength=len(words.start) + 1)
+        removed = np.cumsum(steps[:-1]) > 0
         n_words = np.diff(words.first)
         lost = np.concatenate(([0], np.cumsum(removed)))[words.first]
         n_removed = np.diff(lost)
@@ -118,31 +128,33 @@ def remove_repeats(
                     [k.decode() if n else t for k, n, t in zip(kept, n_removed, texts, strict=True)], pa.string()
                 )
         if "factors" in results:
-            out["factors"] = _factors(words, where, source, window)
+            out["factors"] = _told(words, start, stop, source)
         columns = [left[f.name] for f in own] + [out[c] for c in results]
         return pa.table(columns, names=[*(f.name for f in own), *results])
 
     schema = T.StructType(list(own))
     for c in results:
         schema = schema.add(c, RESULTS[c])
-    answers = B.ask(blocks, total, index, _least)
+    answers = B.ask(blocks, total, index, _least, width=2)
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(parse, schema)
 
 
-def _factors(words: Words, where: np.ndarray, source: np.ndarray, window: int) -> pa.Array:
+def _factors(
+    words: Words, where: np.ndarray, source: np.ndarray, window: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The factors' first words, the words after their last, and the places in their sources."""
     text = words.text_of[where]
     new = np.ones(len(where), dtype=bool)
-    new[1:] = (np.diff(where) != 1) | (np.diff(source) != 0) | (np.diff(text) != 0)
+    new[1:] = (np.diff(where) != 1) | (np.diff(text) != 0) | (np.diff(source) != [[0], [1]]).any(axis=0)
     heads = np.flatnonzero(new)
     tails = np.append(heads[1:], len(where)) - 1
-    rows = pa.StructArray.from_arrays(
-        [
-            pa.array(where[heads] - words.first[text[heads]], pa.int64()),
-            pa.array(where[tails] - where[heads] + window, pa.int64()),
-            pa.array(source[heads], pa.int64()),
-        ],
-        fields=list(_FACTOR.value_type),
-    )
-    counts = np.bincount(text[heads], minlength=len(words.offset) - 1)
+    return where[heads], where[tails[: len(heads)]] + window, source[:, heads]
+
+
+def _told(words: Words, start: np.ndarray, stop: np.ndarray, source: np.ndarray) -> pa.Array:
+    text = words.text_of[start]
+    parts = (start - words.first[text], stop - start, *source)
+    rows = pa.StructArray.from_arrays([pa.array(p, pa.int64()) for p in parts], fields=list(_FACTOR.value_type))
+    counts = np.bincount(text, minlength=len(words.offset) - 1)
     offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), rows).cast(_FACTOR)

@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from conftest import prose
 
-from millrace.llm import bpe, language, neardup, packing, recurrent, secrets, sharding, substrings
+from millrace.llm import blocks, bpe, language, neardup, packing, recurrent, secrets, sharding, substrings
 from millrace.llm.tokens import library, public_path, word_ids
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -60,13 +60,38 @@ def test_substrings_equal_brute_force(spark):
         for f in r.factors:
             assert f.length >= 13 and f.source < d
             covered |= set(range(f.start, f.start + f.length))
-            held = " ".join(WORD.findall(texts[d])[f.start : f.start + 13])
-            assert held in " ".join(WORD.findall(texts[f.source]))
+            source = WORD.findall(texts[f.source])[f.source_start : f.source_start + f.length]
+            assert source == WORD.findall(texts[d])[f.start : f.start + f.length]
         assert len(covered) == r.n_removed
         if not r.n_removed:
             assert r.kept_text == texts[d]
 
 
+def test_factors_are_copies_of_their_sources(spark):
+    w = [f"w{i}" for i in range(14)]
+    texts = [
+        " ".join([*w[:13], "X", *w[1:]]),  # both runs of the last text, not next to each other
+        " ".join(["in", "front", *(f"v{i}" for i in range(40))]),
+        " ".join(f"v{i}" for i in range(20)) + " between " + " ".join(f"v{i}" for i in range(20, 40)),
+        " ".join(w),
+    ]
+    rows = substrings.remove_repeats(table(spark, texts)).orderBy("doc_id").collect()
+    assert [[tuple(f) for f in r.factors] for r in rows] == [
+        [],
+        [],
+        [(0, 20, 1, 2), (21, 20, 1, 22)],
+        [(0, 13, 0, 0), (1, 13, 0, 14)],
+    ]
+    assert [r.kept_text for r in rows[2:]] == ["between", ""]
+
+
+def test_copies_of_one_row_are_dealt_into_several_blocks(spark, monkeypatch):
+    monkeypatch.setattr(blocks, "BLOCK_BYTES", 2_000)
+    docs = spark.createDataFrame([(1, "the very same row")] * 4_000, "doc_id BIGINT, text STRING").repartition(8)
+    dealt = blocks.dealt(docs, blocks.text_bytes(docs), "doc_id", "text")
+    assert dealt.count() == 4_000 and dealt.select("block").distinct().count() >= 5
+
+
 def test_substrings_of_odd_tables(odd_documents, no_documents):
     rows = substrings.remove_repeats(odd_documents).collect()
     by = collections.defaultdict(list)
