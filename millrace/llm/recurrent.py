@@ -4,9 +4,9 @@ Word counts cover all training documents and are summed through the block exchan
 knows the ``VOCABULARY`` most frequent words; any other word is first predicted as "other", then by its
 smoothed share among the others' counts, so the model is a distribution over the same tokens as the
 counts. The softmax is factored into classes of words of like frequency. Output biases start at the
-word frequencies; the network learns from a fixed share of the training documents by backpropagation
-truncated to windows, in rounds: trainers, as many as the share has bytes for, learn apart from the same
-weights, each on all of its documents, and their weights are averaged.
+word frequencies; the network learns from every training document once, by backpropagation truncated to
+windows. Documents are dealt to rounds, and in a round to trainers, as many as its bytes ask for: they
+learn apart from the same weights, each on all of its documents, and their weights are averaged.
 
 A document is scored whole: windows follow one another with the state carried over.
 """
@@ -29,13 +29,12 @@ from millrace.scratch import cut_lineage
 VOCABULARY = 4096
 CLASS = 64  # words per class
 HIDDEN = 16
-SHARE = 0.01  # of the training documents the network learns from
-SAMPLE = 2400  # such documents at least, about
-TRAINERS, ROUNDS = 4, 3  # trainers at least
-TRAINER_BYTES = 2 << 20  # of texts for a trainer, about
+ROUNDS = 3
+TRAINER_BYTES = 16 << 20  # of texts for a trainer in a round, about
 FAN = 16  # weights averaged at a time
-LANES, WINDOW = 32, 32
-RATE = 0.004
+LANES, WINDOW = 256, 32  # lanes at most
+UPDATES = 100  # a short stream has fewer lanes, for as many updates
+RATE = 0.012
 ADD = 0.1
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 Params = dict[str, np.ndarray]
@@ -140,8 +139,13 @@ def log_shares(p: Params, lexicon: Lexicon, h: np.ndarray, target: np.ndarray) -
     return out
 
 
-def gradients(p: Params, lexicon: Lexicon, tokens: np.ndarray, target: np.ndarray, h: np.ndarray) -> tuple[Params, np.ndarray, float]:
-    """Of the mean log loss of a window (time x lanes); the state after it; the loss."""
+def gradients(
+    p: Params, lexicon: Lexicon, tokens: np.ndarray, target: np.ndarray, h: np.ndarray, real: np.ndarray | None = None
+) -> tuple[Params, np.ndarray, float]:
+    """Of the mean log loss of a window (time x lanes); the state after it; the loss.
+
+    ``real`` tells which targets count, by default all.
+    """
     n, steps, lanes = HIDDEN, *tokens.shape
     trace, states = [], []
     for t in range(steps):
@@ -151,21 +155,22 @@ def gradients(p: Params, lexicon: Lexicon, tokens: np.ndarray, target: np.ndarra
         states.append(after)
         h = after
     every, flat = np.concatenate(states), target.ravel()
-    classes, scale = lexicon.class_of(flat), np.float32(1 / len(flat))
+    counted = np.ones(len(flat), np.float32) if real is None else real.ravel().astype(np.float32)
+    classes, scale = lexicon.class_of(flat), counted / counted.sum()
     d = {k: np.zeros_like(v) for k, v in p.items()}
-    share, log_total = _softmax(every @ p["class"] + p["class_bias"])
+    share, _ = _softmax(every @ p["class"] + p["class_bias"])
     rows = np.arange(len(flat))
-    loss = -np.log(np.maximum(share[rows, classes], 1e-30)).sum()
+    loss = -(scale * np.log(np.maximum(share[rows, classes], 1e-30))).sum()
     share[rows, classes] -= 1
-    share *= scale
+    share *= scale[:, None]
     d["class"], d["class_bias"] = every.T @ share, share.sum(axis=0)
     d_state = share @ p["class"].T
     for c, at in _groups(classes, lexicon.classes):
         share, _ = _softmax(every[at] @ p["word"][c] + p["word_bias"][c])
         own = flat[at] - c * CLASS
-        loss -= np.log(np.maximum(share[np.arange(len(at)), own], 1e-30)).sum()
+        loss -= (scale[at] * np.log(np.maximum(share[np.arange(len(at)), own], 1e-30))).sum()
         share[np.arange(len(at)), own] -= 1
-        share *= scale
+        share *= scale[at, None]
         d["word"][c], d["word_bias"][c] = every[at].T @ share, share.sum(axis=0)
         d_state[at] += share @ p["word"][c].T
     d_state = d_state.reshape(steps, lanes, n)
@@ -183,24 +188,31 @@ def gradients(p: Params, lexicon: Lexicon, tokens: np.ndarray, target: np.ndarra
         later = (dh * z + d_g @ p["state"].T) * (tokens[t] != lexicon.end)[:, None]
     flat_inputs = d_inputs.reshape(-1, 3 * n)
     d["gate"] = flat_inputs.sum(axis=0)
-    np.add.at(d["input"], tokens.ravel(), flat_inputs)
-    return d, h, float(loss * scale)
+    order = np.argsort(tokens, axis=None, kind="stable")
+    met = tokens.ravel()[order]
+    heads = B.group_heads(met)
+    d["input"][met[heads]] = np.add.reduceat(flat_inputs[order], heads, axis=0)
+    return d, h, float(loss)
 
 
 def learn(p: Params, lexicon: Lexicon, stream: np.ndarray, rate: float) -> Params:
-    """One pass of Adam over a stream of documents, each followed by the end, in parallel lanes."""
+    """One pass of Adam over a whole stream of documents, each followed by the end, in parallel lanes."""
     p = {k: v.copy() for k, v in p.items()}
     first = {k: np.zeros_like(v) for k, v in p.items()}
     second = {k: np.zeros_like(v) for k, v in p.items()}
-    lanes = min(LANES, max(1, len(stream) // WINDOW))
-    length = (len(stream) - 1) // lanes
-    if length < 1:
+    n = len(stream) - 1
+    if n < 1:
         return p
-    tokens = stream[: lanes * length].reshape(lanes, length).T
-    target = stream[1 : lanes * length + 1].reshape(lanes, length).T
+    lanes = min(LANES, max(1, n // (WINDOW * UPDATES)))
+    length = -(-n // lanes)
+    filled = np.concatenate((stream, np.full(lanes * length - n, lexicon.end, stream.dtype)))
+    tokens = filled[:-1].reshape(lanes, length).T
+    target = filled[1:].reshape(lanes, length).T
+    real = (np.arange(lanes * length) < n).reshape(lanes, length).T
     h = np.zeros((lanes, HIDDEN), np.float32)
     for update, at in enumerate(range(0, length, WINDOW), 1):
-        d, h, _ = gradients(p, lexicon, tokens[at : at + WINDOW], target[at : at + WINDOW], h)
+        part = slice(at, at + WINDOW)
+        d, h, _ = gradients(p, lexicon, tokens[part], target[part], h, real[part])
         norm = np.sqrt(sum(float((v * v).sum()) for v in d.values()))
         for k, v in d.items():
             v *= np.float32(min(1.0, 5.0 / (norm + 1e-9)))
@@ -284,7 +296,7 @@ def _frequent(table: pa.Table) -> pa.Table:
 def _trainer(sent: Broadcast, rate: float) -> Callable[[pa.Table], pa.Table]:
     def run(table: pa.Table) -> pa.Table:
         lexicon, weights = sent.value
-        words = Words(table.sort_by("draw")["text"], lower=True)
+        words = Words(table.sort_by([("draw", "ascending"), ("text", "ascending")])["text"], lower=True)
         ids, _ = _token_ids(lexicon, words, words.hashes())
         after = learn(weights, lexicon, np.concatenate(([lexicon.end], ids)), rate)
         return _told(table["trainer"][0].as_py(), 1, after)
@@ -317,26 +329,26 @@ def _averaged(table: pa.Table) -> pa.Table:
     return _told(table["trainer"][0].as_py(), sum(counts), _mean(counts, table["weights"].to_pylist()))
 
 
-def _trained(lexicon: Lexicon, sample: DataFrame, trainers: int) -> Params:
-    """Rounds of learning apart and averaging. Weights (about 2 MB) go out and come back.
+def _trained(lexicon: Lexicon, fold: DataFrame, trainers: int) -> Params:
+    """Rounds of learning apart and averaging, each on its own part of ``fold``. Weights (about 2 MB) go out and come back.
 
     They are averaged by ``FAN`` at a time in the executors until so many are left for the driver.
     """
-    context = sample.sparkSession.sparkContext
+    context = fold.sparkSession.sparkContext
     params = initial(lexicon)
     for turn in range(ROUNDS):
         sent = context.broadcast((lexicon, params))
         run = _trainer(sent, RATE * 0.5**turn)
         schema = "trainer long, n long, weights binary"
-        told, groups = sample.groupBy("trainer").applyInArrow(run, schema), trainers
+        part = fold.where(F.col("round") == turn).drop("round").repartition(trainers, "trainer")
+        told, groups = part.groupBy("trainer").applyInArrow(run, schema), trainers
         while groups > FAN:
             groups = -(-groups // FAN)
             told = told.withColumn("trainer", F.pmod("trainer", F.lit(groups)))
             told = told.groupBy("trainer").applyInArrow(_averaged, schema)
         found = told.collect()
-        if not found:
-            break
-        params = _mean([row["n"] for row in found], [row["weights"] for row in found])
+        if found:
+            params = _mean([row["n"] for row in found], [row["weights"] for row in found])
         sent.unpersist()
     return params
 
@@ -351,8 +363,8 @@ def scores(docs: DataFrame, learnt: Column | None = None, id_col: str = "doc_id"
     gives no rows. Without training rows nothing is known and every base_score is 0.
 
     Jobs before the result: text sizes are summed, word counts stored in the shared folder, the most
-    frequent words collected (at most ``VOCABULARY``), and ``ROUNDS`` rounds of training run on ``SHARE``
-    of the training documents, about ``SAMPLE`` at least.
+    frequent words collected (at most ``VOCABULARY``), and ``ROUNDS`` rounds of training run, each on its
+    share of all training documents.
     """
     fold = learnt_fold(id_col) if learnt is None else learnt
     narrow = docs.select(
@@ -364,6 +376,7 @@ def scores(docs: DataFrame, learnt: Column | None = None, id_col: str = "doc_id"
     size = narrow.agg(
         F.sum(F.octet_length("text").cast("long")).alias("total"),
         F.sum(F.col("learnt").cast("long")).alias("ends"),
+        F.sum(F.when(F.col("learnt"), F.octet_length("text").cast("long"))).alias("learnt"),
     ).first()
     total, ends = size["total"] or 0, size["ends"] or 0
     blocks = B.dealt(narrow, total, "doc_id", "text")
@@ -381,14 +394,15 @@ def scores(docs: DataFrame, learnt: Column | None = None, id_col: str = "doc_id"
         n_words + ends,
         seen + (ends > 0),
     )
-    draw = F.pmod(F.xxhash64("doc_id", "text", F.lit("sample")), F.lit(1 << 40))
-    share = min(1.0, max(SHARE, SAMPLE / max(1, ends)))
-    sample = narrow.where("learnt and text is not null").withColumn("draw", draw)
-    sample = sample.where(F.col("draw") < int(share * (1 << 40)))
-    sample = cut_lineage(sample.select("text", "draw"), "sample")
-    drawn = sample.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    trainers = max(TRAINERS, -(-drawn // TRAINER_BYTES))
-    params = _trained(lexicon, sample.withColumn("trainer", F.col("draw") % trainers), trainers)
+    trainers = max(1, -(-(size["learnt"] or 0) // (ROUNDS * TRAINER_BYTES)))
+    draw = F.xxhash64("doc_id", "text", F.lit("deal"))
+    dealt = narrow.where("learnt").select(
+        "text",
+        draw.alias("draw"),
+        F.pmod(draw, F.lit(ROUNDS)).alias("round"),
+        F.pmod(F.xxhash64(draw, F.spark_partition_id()), F.lit(trainers)).alias("trainer"),
+    )
+    params = _trained(lexicon, dealt, trainers)
     sent = docs.sparkSession.sparkContext.broadcast((lexicon, params))
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:

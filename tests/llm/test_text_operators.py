@@ -343,30 +343,40 @@ def test_score_of_a_text_is_the_same_alone_and_in_a_block():
     assert np.allclose(together, alone, rtol=1e-4)
 
 
-def test_what_the_network_learns_from_grows(spark, monkeypatch):
-    monkeypatch.setattr(recurrent, "SAMPLE", 10)
-    monkeypatch.setattr(recurrent, "TRAINER_BYTES", 100, raising=False)
-    drawn, trained = [], recurrent._trained
+def test_the_network_learns_from_the_whole_fold(spark, monkeypatch):
+    monkeypatch.setattr(recurrent, "TRAINER_BYTES", 20_000)
+    dealt, trained = [], recurrent._trained
 
-    def recorded(lexicon, sample, *more):
-        drawn.append((sample.count(), sample.select("trainer").distinct().count()))
-        return trained(lexicon, sample, *more)
+    def recorded(lexicon, fold, trainers):
+        dealt.append((fold.select("text", "round", "trainer").collect(), trainers))
+        return trained(lexicon, fold, trainers)
 
     monkeypatch.setattr(recurrent, "_trained", recorded)
-    texts = [prose(i, 12) for i in range(6000)]
+    texts = [prose(i, 80) for i in range(4000)] + [None, ""]
     rows = recurrent.scores(table(spark, texts)).collect()
-    assert len(rows) == 6000 and all(math.isfinite(r.score) for r in rows)
-    assert drawn[0][0] >= 30 and drawn[0][1] > 16
+    assert len(rows) == 4002 and all(math.isfinite(r.score) for r in rows)
+    read, trainers = dealt[0]
+    learnt = {r.doc_id for r in rows if not r.held_out}
+    assert collections.Counter(r.text for r in read) == collections.Counter(texts[d] for d in learnt)
+    assert trainers > recurrent.FAN and {r.trainer for r in read} == set(range(trainers))
+    assert {r.round for r in read} == set(range(recurrent.ROUNDS))
 
 
-def test_a_trainer_reads_all_of_its_documents(monkeypatch):
-    monkeypatch.setattr(recurrent, "UPDATES", 2, raising=False)
+@pytest.mark.parametrize("tokens", [1, 2, 255, 5000, 70_001])
+def test_a_trainer_reads_every_token_once(monkeypatch, tokens):
     lexicon = recurrent.Lexicon(np.arange(1, 101, dtype=np.uint64), np.arange(100, 0, -1), 20, 6000, 130)
     p = recurrent.initial(lexicon)
-    stream = np.full(recurrent.LANES * recurrent.WINDOW * 5 + 1, 3).reshape(-1)
-    stream[recurrent.WINDOW * 4 : recurrent.WINDOW * 5] = 70  # the last window of the first lane
+    stream = np.concatenate(([lexicon.end], np.random.default_rng(1).integers(0, 100, tokens)))
+    asked, gradients = collections.Counter(), recurrent.gradients
+
+    def recorded(p, lexicon, given, target, h, real):
+        asked.update(zip(given[real].tolist(), target[real].tolist(), strict=True))
+        return gradients(p, lexicon, given, target, h, real)
+
+    monkeypatch.setattr(recurrent, "gradients", recorded)
     after = recurrent.learn(p, lexicon, stream, 0.01)
-    assert (after["input"][70] != p["input"][70]).any()
+    assert asked == collections.Counter(zip(stream[:-1].tolist(), stream[1:].tolist(), strict=True))
+    assert (after["input"][stream[-2]] != p["input"][stream[-2]]).any()
 
 
 def test_scores_of_odd_tables(odd_documents, no_documents):
