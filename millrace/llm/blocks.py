@@ -37,7 +37,7 @@ Combine = Callable[[np.ndarray, np.ndarray], np.ndarray]
 def pack(values: np.ndarray) -> bytes:
     """64-bit values as compressed byte columns."""
     columns = np.ascontiguousarray(values).view(np.uint8).reshape(-1, 8).T
-    return pa.compress(np.ascontiguousarray(columns), codec="zstd", asbytes=True)
+    return pa.Codec("zstd", compression_level=5).compress(np.ascontiguousarray(columns), asbytes=True)
 
 
 def unpack(data: bytes, n: int, dtype: type = np.int64, width: int = 1) -> np.ndarray:
