@@ -6,6 +6,11 @@ block once, so no key can grow hot. A bucket gathers the pieces of one key range
 combines the numbers of equal keys and answers every piece with one number per key, in the piece's
 order. The answers go back to the blocks, which read them beside their documents.
 
+A block is cut into ``FAN`` ranges at most. Where more buckets are needed, ``FAN`` blocks' pieces of
+one range are merged into a node, as large as a block, which is cut further, and so on; answers go
+back through the nodes. So the pieces of one level grow as the bytes do, not as their square, and a
+level more is needed for ``FAN`` times the bytes.
+
 Sorted keys are stored as differences, byte by byte in columns, compressed: the more keys a piece
 has, the fewer bytes each takes. Numbers are an array with one entry a key, or ``width`` such arrays.
 """
@@ -21,6 +26,7 @@ from pyspark.sql import functions as F
 
 BLOCK_BYTES = 2 << 20
 BUCKET_KEYS = 1_500_000
+FAN = 256
 PIECE = "block int, bucket int, n int, keys binary, numbers binary"
 ANSWER = "block int, bucket int, n int, answers binary"
 _PIECE_SCHEMA = pa.schema(
@@ -30,7 +36,7 @@ _PIECE_SCHEMA = pa.schema(
 _ANSWER_SCHEMA = pa.schema(
     [("block", pa.int32()), ("bucket", pa.int32()), ("n", pa.int32()), ("answers", pa.binary())]
 )
-Keys = Callable[[pa.Table], tuple[np.ndarray, np.ndarray]]
+Keys = Callable[..., tuple[np.ndarray, np.ndarray]]
 Combine = Callable[[np.ndarray, np.ndarray], np.ndarray]
 
 
@@ -71,40 +77,88 @@ def grouped_min(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def ask(
-    blocks: DataFrame, total: int, keys: Keys, combine: Combine, drop_bits: int = 0, width: int = 1
+    blocks: DataFrame,
+    total: int,
+    keys: Keys,
+    combine: Combine,
+    drop_bits: int = 0,
+    width: int = 1,
+    beside: DataFrame | None = None,
 ) -> DataFrame:
     """The answers for each block, as ``ANSWER``; see ``pieces_of`` and ``answered``."""
-    return answered(pieces_of(blocks, total, keys, drop_bits), total, combine, width)
-
-
-def bucket_count(total: int) -> int:
-    return max(16, total // 5 // BUCKET_KEYS)
-
-
-def pieces_of(blocks: DataFrame, total: int, keys: Keys, drop_bits: int = 0) -> DataFrame:
-    """Each block's keys, cut by key range into pieces, as ``PIECE``.
-
-    ``keys`` gives a block's distinct unsigned keys of ``64 - drop_bits`` bits, sorted, and a number
-    each. ``total``, the bytes of all texts, sizes the buckets.
+    return answered(pieces_of(blocks, total, keys, drop_bits, width, beside), total, combine, width)
+
+
+def ranges(total: int) -> list[int]:
+    """Into how many ranges all keys are cut at each level; the last number is that of the buckets."""
+    buckets = max(16, total // 5 // BUCKET_KEYS)
+    levels = [1]
+    while levels[-1] * FAN < buckets:
+        levels.append(levels[-1] * FAN)
+    return [*levels[1:], levels[-1] * -(-buckets // levels[-1])]
+
+
+def pieces_of(
+    blocks: DataFrame,
+    total: int,
+    keys: Keys,
+    drop_bits: int = 0,
+    width: int = 1,
+    beside: DataFrame | None = None,
+    keep: Callable[[DataFrame], DataFrame] = lambda pieces: pieces,
+) -> list[DataFrame]:
+    """Each block's keys, cut by key range into pieces, as ``PIECE``: a frame for each level.
+
+    ``keys`` gives a block's distinct unsigned keys of ``64 - drop_bits`` bits, sorted, and ``width``
+    numbers each; it is given the block's documents and, if ``beside`` is, the rows of that frame with
+    the same ``block``. ``total``, the bytes of all texts, sizes the buckets. ``keep`` may store a
+    level. In a level but the first ``block`` is a node's number.
     """
-    buckets = bucket_count(total)
-    width = (1 << (64 - drop_bits)) // buckets
-    bounds = np.array([width * i for i in range(1, buckets)], dtype=np.uint64)
+    every = ranges(total)
+    unit = (1 << (64 - drop_bits)) // every[-1]
 
-    def cut(table: pa.Table) -> pa.Table:
-        block = table["block"][0].as_py()
-        found, numbers = keys(table)
+    def cut(block: int, parent: int, fan: int, step: int, found: np.ndarray, numbers: np.ndarray) -> pa.Table:
+        bounds = np.array([step * (parent * fan + i) for i in range(1, fan)], dtype=np.uint64)
         edges = np.concatenate(([0], np.searchsorted(found, bounds), [len(found)]))
         rows = []
-        for bucket, (low, high) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
+        for i, (low, high) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
             if high > low:
                 part = found[low:high].copy()
                 part[1:] -= found[low : high - 1]
-                rows.append((block, bucket, high - low, pack(part), pack(numbers[..., low:high])))
+                rows.append((block, parent * fan + i, high - low, pack(part), pack(numbers[..., low:high])))
         columns = zip(*rows, strict=True) if rows else [[] for _ in _PIECE_SCHEMA]
         return pa.table([pa.array(list(c), f.type) for c, f in zip(columns, _PIECE_SCHEMA, strict=True)], _PIECE_SCHEMA)
 
-    return blocks.groupBy("block").applyInArrow(cut, PIECE).repartition(buckets, "bucket")
+    def of_block(*tables: pa.Table) -> pa.Table:
+        return cut(tables[0]["block"][0].as_py(), 0, every[0], unit * (every[-1] // every[0]), *keys(*tables))
+
+    grouped = blocks.groupBy("block")
+    if beside is None:
+        level = grouped.applyInArrow(lambda table: of_block(table), PIECE)
+    else:
+        level = grouped.cogroup(beside.groupBy("block")).applyInArrow(lambda docs, more: of_block(docs, more), PIECE)
+    levels = []
+    for above, here in zip(every[:-1], every[1:], strict=True):
+        levels.append(keep(_to_nodes(level, above, total)))
+        level = levels[-1].groupBy("node").applyInArrow(_node_cut(cut, above, here, unit * (every[-1] // here), width), PIECE)
+    return [*levels, keep(level.repartition(every[-1], "bucket"))]
+
+
+def _to_nodes(level: DataFrame, n_ranges: int, total: int) -> DataFrame:
+    """The pieces of a level with a column ``node``: ``FAN`` blocks (or nodes) of one range, merged next."""
+    group = F.floor(F.col("block") / F.lit(n_ranges)).cast("int")
+    node = (group * F.lit(n_ranges) + F.col("bucket")).cast("int").alias("node")
+    return level.select("*", node).repartition(max(1, -(-total // BLOCK_BYTES)), "node")
+
+
+def _node_cut(cut: Callable[..., pa.Table], above: int, here: int, step: int, width: int):
+    def of_node(table: pa.Table) -> pa.Table:
+        found, numbers, _ = opened(table.sort_by("block"), width)
+        order = np.argsort(found, kind="stable")
+        node = table["node"][0].as_py()
+        return cut(node, node % above, here // above, step, found[order], numbers[..., order])
+
+    return of_node
 
 
 def opened(table: pa.Table, width: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -118,24 +172,38 @@ def opened(table: pa.Table, width: int = 1) -> tuple[np.ndarray, np.ndarray, np.
     return every, numbers, edges
 
 
-def answered(pieces: DataFrame, total: int, combine: Combine, width: int = 1) -> DataFrame:
-    """The answers to all pieces, dealt like the blocks.
+def answered(levels: list[DataFrame], total: int, combine: Combine, width: int = 1) -> DataFrame:
+    """The answers to all pieces of ``pieces_of``, dealt like the blocks.
 
     ``combine`` takes all keys of a bucket in key order with their numbers, and gives an answer for
     each row.
     """
 
+    def told(table: pa.Table, replies: np.ndarray, edges: np.ndarray) -> pa.Table:
+        packed = [pack(replies[..., a:b]) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+        columns = [table["block"], table["bucket"], table["n"], pa.array(packed, pa.binary())]
+        return pa.table([c.cast(f.type) for c, f in zip(columns, _ANSWER_SCHEMA, strict=True)], _ANSWER_SCHEMA)
+
     def answer(table: pa.Table) -> pa.Table:
         every, numbers, edges = opened(table, width)
         order = np.argsort(every, kind="stable")
         replies = np.empty_like(numbers)
         replies[..., order] = combine(every[order], numbers[..., order])
-        packed = [pack(replies[..., a:b]) for a, b in zip(edges[:-1], edges[1:], strict=True)]
-        columns = [table["block"], table["bucket"], table["n"], pa.array(packed, pa.binary())]
-        return pa.table([c.cast(f.type) for c, f in zip(columns, _ANSWER_SCHEMA, strict=True)], _ANSWER_SCHEMA)
+        return told(table, replies, edges)
+
+    def hand_back(pieces: pa.Table, answers: pa.Table) -> pa.Table:
+        pieces = pieces.sort_by("block")
+        every, numbers, edges = opened(pieces, width)
+        replies = np.empty_like(numbers)
+        replies[..., np.argsort(every, kind="stable")] = answers_of(answers, width)
+        return told(pieces, replies, edges)
 
     n_blocks = max(1, -(-total // BLOCK_BYTES))
-    return pieces.groupBy("bucket").applyInArrow(answer, ANSWER).repartition(n_blocks, "block")
+    replies = levels[-1].groupBy("bucket").applyInArrow(answer, ANSWER).repartition(n_blocks, "block")
+    for level in reversed(levels[:-1]):
+        back = level.groupBy("node").cogroup(replies.groupBy("block")).applyInArrow(hand_back, ANSWER)
+        replies = back.repartition(n_blocks, "block")
+    return replies
 
 
 def answers_of(table: pa.Table, width: int = 1) -> np.ndarray:

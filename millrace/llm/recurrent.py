@@ -380,9 +380,9 @@ def scores(docs: DataFrame, learnt: Column | None = None, id_col: str = "doc_id"
     ).first()
     total, ends = size["total"] or 0, size["ends"] or 0
     blocks = B.dealt(narrow, total, "doc_id", "text")
-    pieces = cut_lineage(B.pieces_of(blocks, total, _train_counts), "word-counts")
+    pieces = B.pieces_of(blocks, total, _train_counts, keep=lambda level: cut_lineage(level, "word-counts"))
     frequent = cut_lineage(
-        pieces.groupBy("bucket").applyInArrow(_frequent, "word long, n long, seen long"), "frequent"
+        pieces[-1].groupBy("bucket").applyInArrow(_frequent, "word long, n long, seen long"), "frequent"
     )
     summed = frequent.where("word is null").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen")).first()
     n_words, seen = summed["n"] or 0, summed["seen"] or 0

@@ -9,6 +9,9 @@ a factor is a copy of that many words of its source. Runs that lie across the en
 looked up like all others; where one is found the next factor starts there, within the last words of
 the one before, so a copy put together from several sources is covered without gaps. The words that
 factors cover are removed: exactly those in runs that an earlier document has.
+
+Most runs stand in one block only. So blocks first ask, by short hashes, which of their runs another
+block may have; only those enter the exchanged indexes with their whole hash and place.
 """
 
 from __future__ import annotations
@@ -17,7 +20,9 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.llm import blocks as B
@@ -61,6 +66,17 @@ def _least(keys: np.ndarray, places: np.ndarray) -> np.ndarray:
     return np.where(least < docs, (least, B.spread(start, heads, len(keys))), NONE)
 
 
+def _short_bits(total: int) -> int:
+    """Bits of a short hash: of the runs in this many bytes, under one in a thousand meets another by chance."""
+    return min(64, max(32, total.bit_length() + 10))
+
+
+def _asked(keys: np.ndarray, drop: np.uint64, answers: np.ndarray) -> np.ndarray:
+    """Which of a block's sorted keys another block may have, by the answers for its distinct short hashes."""
+    short = keys >> drop
+    return answers[np.searchsorted(np.unique(short), short)] > 1 if len(keys) else np.zeros(0, dtype=bool)
+
+
 def _kept(words: Words, removed: np.ndarray) -> list[bytes]:
     """Each text's words that stay, joined by one space."""
     gap = np.zeros(len(words.data) + 1, dtype=np.int8)
@@ -101,15 +117,26 @@ def remove_repeats(
     total = B.text_bytes(docs, text)
     blocks = B.dealt(docs.select(*[f"`{c}`" for c in needed]), total, id_col, text)
 
-    def index(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    drop = np.uint64(64 - _short_bits(total))
+
+    def short_runs(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        found = np.unique(Words(table[text]).runs(window)[1] >> drop)
+        return found, np.ones(len(found), dtype=np.int64)
+
+    def index(table: pa.Table, met: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         _, _, hashes, places = _runs(table, id_col, text, window)
-        return _first_places(hashes, places)
+        keys, local = _first_places(hashes, places)
+        asked = _asked(keys, drop, B.answers_of(met))
+        return keys[asked], local[:, asked]
 
     def parse(left: pa.Table, right: pa.Table) -> pa.Table:
         words, where, hashes, places = _runs(left, id_col, text, window)
         keys, local = _first_places(hashes, places)
-        other = B.answers_of(right, 2)
-        source = np.where(other[0] < local[0], other, local)[:, np.searchsorted(keys, hashes)]
+        least = local.copy()
+        asked = _asked(keys, drop, B.answers_of(right.filter(pc.equal(right["step"], 0))))
+        other = B.answers_of(right.filter(pc.equal(right["step"], 1)), 2)
+        least[:, asked] = np.where(other[0] < local[0, asked], other, local[:, asked])
+        source = least[:, np.searchsorted(keys, hashes)]
         hit = source[0] < places[0]
         start, stop, source = _factors(words, where[hit], source[:, hit], window)
         steps = np.bincount(start, minlength=len(words.start) + 1) - np.bincount(stop, minlength=len(words.start) + 1)
@@ -135,7 +162,9 @@ def remove_repeats(
     schema = T.StructType(list(own))
     for c in results:
         schema = schema.add(c, RESULTS[c])
-    answers = B.ask(blocks, total, index, _least, width=2)
+    met = B.ask(blocks, total, short_runs, B.sum_by_key, drop_bits=int(drop))
+    first = B.ask(blocks, total, index, _least, width=2, beside=met)
+    answers = met.withColumn("step", F.lit(0)).unionByName(first.withColumn("step", F.lit(1)))
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(parse, schema)
 
 

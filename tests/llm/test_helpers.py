@@ -68,6 +68,45 @@ def test_every_key_is_answered_with_the_sum_over_all_blocks(spark, monkeypatch):
     assert all(r.n == wanted[by_hash[r.key]] for r in rows)
 
 
+def counted_through_levels(spark, n_texts):
+    """Pieces of each level, and each word's count as the blocks are told it."""
+    texts = [prose(i, 30, 60) for i in range(n_texts)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id BIGINT, text STRING")
+    total = blocks.text_bytes(docs)
+    dealt = blocks.dealt(docs, total, "doc_id", "text")
+
+    def count(table):
+        return np.unique(Words(table["text"]).hashes(), return_counts=True)
+
+    def told(left, right):
+        keys = np.unique(Words(left["text"]).hashes()).view(np.int64)
+        return pa.table({"key": keys, "n": blocks.answers_of(right)})
+
+    levels = blocks.pieces_of(dealt, total, count)
+    answers = blocks.answered(levels, total, blocks.sum_by_key)
+    rows = dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(told, "key long, n long").collect()
+    wanted = collections.Counter(w for t in texts for w in t.split())
+    hashed = Words(pa.array([" ".join(wanted)])).hashes().view(np.int64).tolist()
+    assert {(r.key, r.n) for r in rows} == set(zip(hashed, wanted.values(), strict=True))
+    return [level.count() for level in levels]
+
+
+def test_pieces_of_a_level_grow_as_the_bytes(spark, monkeypatch):
+    monkeypatch.setattr(blocks, "BLOCK_BYTES", 1_000)
+    monkeypatch.setattr(blocks, "BUCKET_KEYS", 60)
+    monkeypatch.setattr(blocks, "FAN", 4)
+    small, large = counted_through_levels(spark, 60), counted_through_levels(spark, 240)
+    assert len(large) > len(small) > 1
+    assert max(large) <= 4.4 * max(small)
+
+
+def test_ranges_of_levels_are_nested(monkeypatch):
+    for total in (0, 10**9, 10**10, 10**12, 10**14):
+        found = blocks.ranges(total)
+        assert found[-1] >= total // 5 // blocks.BUCKET_KEYS
+        assert all(b % a == 0 and b // a <= blocks.FAN for a, b in zip([1, *found[:-1]], found, strict=True))
+
+
 def test_components_equal_union_find(spark):
     draw = random.Random(2)
     links = [(i, i + 1) for i in range(100, 140)] + [(7, n) for n in range(200, 260)]

@@ -67,6 +67,16 @@ def test_substrings_equal_brute_force(spark):
             assert r.kept_text == texts[d]
 
 
+def test_substrings_over_many_blocks_and_levels_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(blocks, "BLOCK_BYTES", 1_500)
+    monkeypatch.setattr(blocks, "FAN", 6)
+    shared = [prose(900 + i, 18) for i in range(4)]
+    texts = [f"{prose(i, 40)} {shared[i % 4]} {prose(i % 11, 25)} {shared[i % 3]}" for i in range(50)]
+    results = ("n_words", "n_removed", "kept_sha256")
+    rows = substrings.remove_repeats(table(spark, texts).repartition(4), results=results).collect()
+    assert {r.doc_id: tuple(r[c] for c in results) for r in rows} == removed_by_brute_force(list(enumerate(texts)))
+
+
 def test_factors_are_copies_of_their_sources(spark):
     w = [f"w{i}" for i in range(14)]
     texts = [
