@@ -14,7 +14,7 @@ A document is scored whole: windows follow one another with the state carried ov
 from __future__ import annotations
 
 import pickle
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +35,7 @@ FAN = 16  # weights averaged at a time
 LANES, WINDOW = 256, 32  # lanes at most
 UPDATES = 100  # a short stream has fewer lanes, for as many updates
 RATE = 0.012
+SCORED = 40_000  # tokens scored at a time, about
 ADD = 0.1
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 Params = dict[str, np.ndarray]
@@ -107,12 +108,53 @@ def _step(p: Params, tokens: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...
     return z, r, c, g, c + z * (h - c)
 
 
+def _gates(table: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The columns of the update gate, the reset gate and the candidate, each as an array of its own."""
+    return tuple(np.ascontiguousarray(table[:, k * HIDDEN : (k + 1) * HIDDEN]) for k in range(3))
+
+
+def _next_state(
+    state: Sequence[np.ndarray], x: Sequence[np.ndarray], h: np.ndarray, out: np.ndarray
+) -> np.ndarray:
+    """The new state of ``_step`` alone, written to ``out``; ``x`` are the tokens' inputs with the gates' bias."""
+    both = []
+    for weights, inputs in zip(state[:2], x[:2], strict=True):
+        gate = h @ weights
+        gate += inputs
+        np.negative(gate, gate)
+        np.exp(gate, gate)
+        gate += 1
+        both.append(np.reciprocal(gate, gate))
+    c = h @ state[2]
+    c *= both[1]
+    c += x[2]
+    np.tanh(c, c)
+    np.subtract(h, c, out)
+    out *= both[0]
+    out += c
+    return out
+
+
+def _exponentials(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Exponentials over each row's common factor, their sums, and the log of sum times factor."""
+    top = logits.max()  # one for all rows, where none can sink below the smallest float
+    top = top if top - logits.min() < 60 else logits.max(axis=1, keepdims=True)
+    shares = logits - top
+    np.exp(shares, shares)
+    total = shares @ np.ones(logits.shape[1], logits.dtype)
+    return shares, total, np.log(total) + np.ravel(top)
+
+
+def _log_total(logits: np.ndarray) -> np.ndarray:
+    """Log of each row's sum of exponentials."""
+    return _exponentials(logits)[2]
+
+
 def _softmax(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Shares and the log of what they were divided by."""
-    top = logits.max(axis=1, keepdims=True)
-    e = np.exp(logits - top)
-    total = e.sum(axis=1, keepdims=True)
-    return e / total, (top + np.log(total))[:, 0]
+    shares, total, log_total = _exponentials(logits)
+    shares /= total[:, None]
+    return shares, log_total
 
 
 def _groups(classes: np.ndarray, n: int):
@@ -127,15 +169,15 @@ def _groups(classes: np.ndarray, n: int):
 def log_shares(p: Params, lexicon: Lexicon, h: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Natural log of each target's probability after state ``h``."""
     classes = lexicon.class_of(target)
-    logits = h @ p["class"] + p["class_bias"]
-    top = logits.max(axis=1)
-    out = logits[np.arange(len(h)), classes] - top - np.log(np.exp(logits - top[:, None]).sum(axis=1))
-    out = out.astype(np.float64)
+    out = np.empty(len(h))
+    for at in range(0, len(h), 4096):  # what fits a core's cache
+        part = slice(at, at + 4096)
+        logits = h[part] @ p["class"]
+        logits += p["class_bias"]
+        out[part] = logits[np.arange(len(logits)), classes[part]] - _log_total(logits)
     for c, rows in _groups(classes, lexicon.classes):
         logits = h[rows] @ p["word"][c] + p["word_bias"][c]
-        top = logits.max(axis=1)
-        own = logits[np.arange(len(rows)), target[rows] - c * CLASS]
-        out[rows] += own - top - np.log(np.exp(logits - top[:, None]).sum(axis=1))
+        out[rows] += logits[np.arange(len(rows)), target[rows] - c * CLASS] - _log_total(logits)
     return out
 
 
@@ -230,28 +272,25 @@ def score_texts(p: Params, lexicon: Lexicon, ids: np.ndarray, first: np.ndarray)
     begin, length = first[:-1][order], length[order]
     total = np.zeros(len(order))
     h = np.zeros((len(order), HIDDEN), np.float32)
-    states, targets, rows, held = [], [], [], 0
-
-    def settle() -> None:
-        if states:
-            got = log_shares(p, lexicon, np.concatenate(states), np.concatenate(targets))
-            total[:] += np.bincount(np.concatenate(rows), weights=got, minlength=len(total))
-
-    live = len(order)
-    for t in range(int(length[0]) if len(length) else 0):
-        while live and length[live - 1] <= t:
-            live -= 1
-        place = begin[:live] + t
-        tokens = ids[place - 1] if t else np.full(live, lexicon.end)
-        h = _step(p, tokens, h[:live])[-1]
-        states.append(h)
-        targets.append(ids[place])
-        rows.append(np.arange(live))
-        held += live
-        if held >= 40_000:
-            settle()
-            states, targets, rows, held = [], [], [], 0
-    settle()
+    tables, state = _gates(p["input"] + p["gate"]), _gates(p["state"])
+    steps = int(length[0]) if len(length) else 0
+    live = len(order) - np.searchsorted(length[::-1], np.arange(steps), side="right")
+    edges = np.concatenate(([0], np.cumsum(live)))  # all first tokens, all second ones, and so on
+    at = 0
+    while at < steps:
+        to = max(at + 1, int(np.searchsorted(edges, edges[at] + SCORED, side="right")) - 1)
+        near = edges[at : to + 1] - edges[at]
+        step = np.repeat(np.arange(at, to), live[at:to])
+        row = np.arange(near[-1]) - np.repeat(near[:-1], live[at:to])
+        place = begin[row] + step
+        before = np.where(step > 0, ids[place - 1], lexicon.end)
+        x = [table[before] for table in tables]
+        states = np.empty((len(place), HIDDEN), np.float32)
+        bounds = near.tolist()
+        for low, high in zip(bounds[:-1], bounds[1:], strict=True):
+            h = _next_state(state, [v[low:high] for v in x], h[: high - low], states[low:high])
+        total += np.bincount(row, weights=log_shares(p, lexicon, states, ids[place]), minlength=len(total))
+        at = to
     out = np.empty(len(order))
     out[order] = total
     return out
