@@ -48,11 +48,18 @@ def _runs(table: pa.Table, id_col: str, text: str, window: int):
     return words, where, hashes, np.stack((_ids(table, id_col)[of], where - words.first[of]))
 
 
-def _first_places(keys: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys, sorted, and the first place of each."""
-    order = np.lexsort((places[0], keys))  # stable: words of one text stay in order
-    order = order[B.group_heads(keys[order])]
-    return keys[order], places[:, order]
+def _first_places(keys: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys, sorted, the first place of each, and the number of each row's key among them."""
+    order = np.argsort(keys)
+    found = keys[order]
+    heads = B.group_heads(found)
+    size = np.diff(np.append(heads, len(keys)))
+    several = np.repeat(size > 1, size)  # only these need an order among themselves
+    rows = order[several]
+    order[several] = rows[np.lexsort((rows, places[0, rows], keys[rows]))]  # words of one text stay in order
+    number = np.empty(len(keys), np.int64)
+    number[order] = np.repeat(np.arange(len(heads)), size)
+    return found[heads], places[:, order[heads]], number
 
 
 def _least(keys: np.ndarray, places: np.ndarray) -> np.ndarray:
@@ -73,8 +80,7 @@ def _short_bits(total: int) -> int:
 
 def _asked(keys: np.ndarray, drop: np.uint64, answers: np.ndarray) -> np.ndarray:
     """Which of a block's sorted keys another block may have, by the answers for its distinct short hashes."""
-    short = keys >> drop
-    return answers[np.searchsorted(np.unique(short), short)] > 1 if len(keys) else np.zeros(0, dtype=bool)
+    return B.spread(answers > 1, B.group_heads(keys >> drop), len(keys))
 
 
 def _kept(words: Words, removed: np.ndarray) -> list[bytes]:
@@ -120,23 +126,23 @@ def remove_repeats(
     drop = np.uint64(64 - _short_bits(total))
 
     def short_runs(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        found = np.unique(Words(table[text]).runs(window)[1] >> drop)
+        found = B.distinct(Words(table[text]).runs(window)[1] >> drop)
         return found, np.ones(len(found), dtype=np.int64)
 
     def index(table: pa.Table, met: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         _, _, hashes, places = _runs(table, id_col, text, window)
-        keys, local = _first_places(hashes, places)
+        keys, local, _ = _first_places(hashes, places)
         asked = _asked(keys, drop, B.answers_of(met))
         return keys[asked], local[:, asked]
 
     def parse(left: pa.Table, right: pa.Table) -> pa.Table:
         words, where, hashes, places = _runs(left, id_col, text, window)
-        keys, local = _first_places(hashes, places)
+        keys, local, number = _first_places(hashes, places)
         least = local.copy()
         asked = _asked(keys, drop, B.answers_of(right.filter(pc.equal(right["step"], 0))))
         other = B.answers_of(right.filter(pc.equal(right["step"], 1)), 2)
         least[:, asked] = np.where(other[0] < local[0, asked], other, local[:, asked])
-        source = least[:, np.searchsorted(keys, hashes)]
+        source = least[:, number]
         hit = source[0] < places[0]
         start, stop, source = _factors(words, where[hit], source[:, hit], window)
         steps = np.bincount(start, minlength=len(words.start) + 1) - np.bincount(stop, minlength=len(words.start) + 1)

@@ -10,7 +10,7 @@ import time
 import numpy as np
 from conftest import prose
 
-from millrace.llm import catalog, hamming, language, packing, secrets
+from millrace.llm import catalog, hamming, language, packing, secrets, substrings
 from millrace.llm.tokens import public_path
 
 FOLDER = "/root/testdata/sf0.001"
@@ -125,3 +125,38 @@ def test_bpe_query_equals_the_library(spark):
         assert r.ids_sha256 == hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest()
         back = tool.decode(ids, skip_special_tokens=False)
         assert r.decoded_sha256 == hashlib.sha256(back.encode()).hexdigest()
+
+
+def least_time(run, times=5):
+    def once():
+        began = time.process_time()
+        run()
+        return time.process_time() - began
+
+    return min(once() for _ in range(times))
+
+
+def test_a_block_lists_its_distinct_runs_at_the_cost_of_a_sort():
+    hashes = np.random.default_rng(4).integers(0, 1 << 63, 500_000).astype(np.uint64)
+    hashes[::7] = hashes[3]
+    keys = np.sort(hashes)
+    keys = keys[np.concatenate(([True], keys[1:] != keys[:-1]))]
+    drop = np.uint64(20)
+    short, place = np.unique(keys >> drop, return_inverse=True)
+    answers = np.arange(len(short)) % 3
+    assert (substrings._asked(keys, drop, answers) == (answers > 1)[place]).all()
+    assert least_time(lambda: substrings._asked(keys, drop, answers)) < 2 * least_time(lambda: np.sort(hashes))
+
+
+def test_first_places_are_those_of_the_smallest_document():
+    rng = np.random.default_rng(5)
+    for n in (0, 1, 2, 4000):
+        keys, docs = rng.integers(0, 900, n).astype(np.uint64), rng.integers(0, 5, n)
+        places = np.stack((docs, np.arange(n)))
+        found, first, number = substrings._first_places(keys, places)
+        least = {}
+        for key, doc, at in zip(keys.tolist(), *places.tolist(), strict=True):
+            least[key] = min(least.get(key, (doc, at)), (doc, at))
+        assert found.tolist() == sorted(least)
+        assert first.T.tolist() == [list(least[k]) for k in sorted(least)]
+        assert (found[number] == keys).all()
