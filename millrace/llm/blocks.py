@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.workers import give_back
+
 BLOCK_BYTES = 2 << 20
 BUCKET_KEYS = 1_500_000
 FAN = 256
@@ -130,6 +132,7 @@ def pieces_of(
         return pa.table([pa.array(list(c), f.type) for c, f in zip(columns, _PIECE_SCHEMA, strict=True)], _PIECE_SCHEMA)
 
     def of_block(*tables: pa.Table) -> pa.Table:
+        give_back()
         return cut(tables[0]["block"][0].as_py(), 0, every[0], unit * (every[-1] // every[0]), *keys(*tables))
 
     grouped = blocks.groupBy("block")
@@ -153,6 +156,7 @@ def _to_nodes(level: DataFrame, n_ranges: int, total: int) -> DataFrame:
 
 def _node_cut(cut: Callable[..., pa.Table], above: int, here: int, step: int, width: int):
     def of_node(table: pa.Table) -> pa.Table:
+        give_back()
         found, numbers, _ = opened(table.sort_by("block"), width)
         order = np.argsort(found, kind="stable")
         node = table["node"][0].as_py()
@@ -185,6 +189,7 @@ def answered(levels: list[DataFrame], total: int, combine: Combine, width: int =
         return pa.table([c.cast(f.type) for c, f in zip(columns, _ANSWER_SCHEMA, strict=True)], _ANSWER_SCHEMA)
 
     def answer(table: pa.Table) -> pa.Table:
+        give_back()
         every, numbers, edges = opened(table, width)
         order = np.argsort(every, kind="stable")
         replies = np.empty_like(numbers)
@@ -192,6 +197,7 @@ def answered(levels: list[DataFrame], total: int, combine: Combine, width: int =
         return told(table, replies, edges)
 
     def hand_back(pieces: pa.Table, answers: pa.Table) -> pa.Table:
+        give_back()
         pieces = pieces.sort_by("block")
         every, numbers, edges = opened(pieces, width)
         replies = np.empty_like(numbers)

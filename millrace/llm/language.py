@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.llm.workers import give_back
+
 SAMPLE = 800  # labelled documents learnt from, per language, about
 SAMPLE_OF_ALL = 16_000  # of all languages: with more than twenty, each has an equal part of it
 DIMENSIONS = 1 << 15
@@ -185,6 +187,7 @@ def predict(
     picked = docs.select(F.col(text).alias("read"), held, *[F.col(f"`{f.name}`") for f in own])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         for batch in batches:
             found = [model.value.predict(t) for t in batch.column(0).to_pylist()]
             columns = list(zip(*found, strict=True)) or [[], [], []]

@@ -113,7 +113,7 @@ def similarity(one: bytes, other: bytes) -> float:
 def _sketches(left: pa.Table, right: pa.Table, n_docs: int) -> pa.Table:
     words = Words(left["text"])
     hashes = words.hashes()
-    keys = np.unique(hashes >> np.uint64(16))
+    keys = B.distinct(hashes >> np.uint64(16))
     df = B.answers_of(right)
     place = np.searchsorted(keys, hashes >> np.uint64(16))
     idf = (np.log((1 + n_docs) / (1 + df)) + 1)[place] if len(df) else np.zeros(0)

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.tokens import public_path, word_ids
+from millrace.llm.workers import give_back
 from millrace.scratch import cut_lineage
 
 END_ID = 1
@@ -129,6 +130,7 @@ def tokenized(docs: DataFrame, path: str, names: list[str | None], end_id: int)
     number = {name: i for i, name in enumerate(names)}
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         encoder, chunk = word_ids(path), TaskContext.get().partitionId()
         drawn = [0] * (len(names) + 1)
         last = np.array([end_id], dtype="<u2").tobytes()
@@ -257,6 +259,7 @@ def _layout(plan: Mixture, names: list[str | None], sequence: int, with_ids: boo
     """Place a span's pieces into its windows."""
 
     def place(table: pa.Table) -> pa.Table:
+        give_back()
         table = table.sort_by([("queue", "ascending"), ("position", "ascending")]).combine_chunks()
         span = table["span"][0].as_py()
         queues = np.arange(len(plan.due))

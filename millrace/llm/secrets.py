@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.llm.workers import give_back
+
 # The kinds in order, their patterns and least lengths.
 KINDS = ("assign", "access", "hex", "markov")
 ASSIGN = re.compile(
@@ -186,6 +188,7 @@ def scan(docs: DataFrame, carry: tuple[str, ...] | None = None, id_col: str = "d
     picked = docs.select(F.col(text).alias("scanned"), *[F.col(f"`{f.name}`") for f in own])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 part = batch.slice(at, ROWS)

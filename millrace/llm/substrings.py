@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 
 from millrace.llm import blocks as B
 from millrace.llm.words import Words
+from millrace.llm.workers import give_back
 
 WINDOW = 13
 NONE = np.iinfo(np.int64).max
@@ -136,6 +137,7 @@ def remove_repeats(
         return keys[asked], local[:, asked]
 
     def parse(left: pa.Table, right: pa.Table) -> pa.Table:
+        give_back()
         words, where, hashes, places = _runs(left, id_col, text, window)
         keys, local, number = _first_places(hashes, places)
         least = local.copy()

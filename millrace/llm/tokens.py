@@ -1,8 +1,9 @@
 """Token ids of whole texts by a public tokenizer, each distinct piece encoded once per worker.
 
 The word tokenizer drops white space and encodes the pieces its pattern cuts out one by one, so a
-text's ids are those of its pieces in order. Pieces are kept with their ids up to ``KNOWN`` per
-worker; a full store stops growing and further pieces are encoded each time. Texts with characters
+text's ids are those of its pieces in order. Pieces are kept with their ids up to ``HELD`` per
+worker, which holds them as long as it lives; a full store goes back to its first ``COMMON``, among
+which are the most frequent ones. Texts with characters
 that are not plain, for which Python's character classes may differ from the tokenizer's, and texts
 with the marks of special tokens are encoded whole by the library.
 """
@@ -10,6 +11,7 @@ with the marks of special tokens are encoded whole by the library.
 from __future__ import annotations
 
 import functools
+import itertools
 import os
 import re
 from collections.abc import Iterator
@@ -17,6 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 
 KNOWN = 600_000
+HELD, COMMON = 200_000, 100_000  # by the word tokenizer
 #: What is plain: white space, printable ASCII, and Latin up to U+024F but for the letter that
 #: lower-cases to two.
 UNUSUAL = re.compile(r"[^\t\n\r\x20-\x7e\xa1-\u012f\u0131-\u024f]")
@@ -91,7 +94,7 @@ class WordIds:
         return np.array(ids, dtype="<u2").tobytes()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        known, room = self.known, KNOWN
+        known = self.known
         out = []
         for text in texts:
             if not text:
@@ -103,8 +106,9 @@ class WordIds:
                 ids = [*map(known.get, pieces)]
                 for i in _gaps(ids):
                     ids[i] = found = known.get(pieces[i]) or self.fresh(pieces[i])
-                    if len(known) < room:
-                        known[pieces[i]] = found
+                    known[pieces[i]] = found
+                    if len(known) >= HELD:
+                        known = self.known = dict(itertools.islice(known.items(), COMMON))
                 out.append(b"".join(ids))
         return out
 

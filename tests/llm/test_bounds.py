@@ -2,16 +2,19 @@
 
 import collections
 import hashlib
+import os
 import random
 import re
 import struct
+import subprocess
+import sys
 import time
 
 import numpy as np
 from conftest import prose
 
 from millrace.llm import catalog, hamming, language, packing, secrets, substrings
-from millrace.llm.tokens import public_path
+from millrace.llm.tokens import WordIds, public_path
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -160,3 +163,47 @@ def test_first_places_are_those_of_the_smallest_document():
         assert found.tolist() == sorted(least)
         assert first.T.tolist() == [list(least[k]) for k in sorted(least)]
         assert (found[number] == keys).all()
+
+
+def test_a_worker_holds_a_bounded_store_of_pieces():
+    tool = WordIds(public_path("word_bpe_49k.json"))
+    words = ["".join(chr(97 + n // 26**k % 26) for k in range(4)) for n in range(250_000)]
+    texts = [" the ".join(words[at : at + 5000]) for at in range(0, len(words), 5000)]
+    made = tool.encode(texts)
+    assert 100_000 <= len(tool.known) <= 200_000 + 1 and "the" in tool.known
+    assert made[:2] == tool.encode(texts[:2]) == [tool.whole(t) for t in texts[:2]]
+
+
+MEMORY = """
+import re, sys
+import numpy as np, pyarrow as pa
+from millrace.llm import blocks, language, packing, secrets, substrings  # what a worker has loaded
+from millrace.llm.words import Words
+
+def held():
+    text = open("/proc/self/smaps_rollup").read()
+    return sum(map(int, re.findall(r"\\nPss_(?:Anon|Shmem):\\s+(\\d+)", text))) / 1024
+
+def block(n):
+    texts = pa.array([" ".join(f"w{n * 700 + i}x{j}" for j in range(450)) for i in range(700)])
+    table = pa.table({"doc_id": pa.array(range(700), pa.int64()), "text": texts})
+    words, _, hashes, places = substrings._runs(table, "doc_id", "text", 13)
+    substrings._first_places(hashes, places)
+    kept = substrings._kept(words, np.zeros(len(words.start), bool))
+    return pa.array([k.decode() for k in kept])
+
+before = held()
+for n in range(3):
+    block(n)
+after = held()
+if hasattr(blocks, "give_back"):
+    blocks.give_back()
+print(before, after, held())
+"""
+
+
+def test_a_worker_gives_back_what_a_block_used():
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    told = subprocess.run([sys.executable, "-c", MEMORY], cwd=root, capture_output=True, text=True, check=True).stdout
+    before, after, left = map(float, told.split())
+    assert left - before < 0.75 * (after - before)
