@@ -233,6 +233,16 @@ def distinct(keys: np.ndarray) -> np.ndarray:
     return keys[group_heads(keys)]
 
 
+def numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, sorted, and the number of each row's key among them."""
+    order = np.argsort(keys)
+    found = keys[order]
+    heads = group_heads(found)
+    number = np.empty(len(keys), np.int64)
+    number[order] = spread(np.arange(len(heads)), heads, len(keys))
+    return found[heads], number
+
+
 def spread(per_group: np.ndarray, heads: np.ndarray, n: int) -> np.ndarray:
     """A value per group, repeated for each of its rows."""
     return np.repeat(per_group, np.diff(np.append(heads, n)))

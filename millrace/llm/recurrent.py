@@ -14,7 +14,7 @@ A document is scored whole: windows follow one another with the state carried ov
 from __future__ import annotations
 
 import pickle
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -93,56 +93,47 @@ def initial(lexicon: Lexicon, seed: int = 3) -> Params:
     return {k: v.astype(np.float32) for k, v in params.items()}
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
-
-
-def _step(p: Params, tokens: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
-    """One token on: update and reset gates, candidate, new state."""
-    n = HIDDEN
-    x = p["input"][tokens] + p["gate"]
-    g = h @ p["state"]
-    both = _sigmoid(x[:, : 2 * n] + g[:, : 2 * n])
-    z, r = both[:, :n], both[:, n:]
-    c = np.tanh(x[:, 2 * n :] + r * g[:, 2 * n :])
-    return z, r, c, g, c + z * (h - c)
-
-
-def _gates(table: np.ndarray) -> tuple[np.ndarray, ...]:
-    """The columns of the update gate, the reset gate and the candidate, each as an array of its own."""
-    return tuple(np.ascontiguousarray(table[:, k * HIDDEN : (k + 1) * HIDDEN]) for k in range(3))
-
-
-def _next_state(
-    state: Sequence[np.ndarray], x: Sequence[np.ndarray], h: np.ndarray, out: np.ndarray
-) -> np.ndarray:
-    """The new state of ``_step`` alone, written to ``out``; ``x`` are the tokens' inputs with the gates' bias."""
-    both = []
-    for weights, inputs in zip(state[:2], x[:2], strict=True):
-        gate = h @ weights
-        gate += inputs
-        np.negative(gate, gate)
-        np.exp(gate, gate)
-        gate += 1
-        both.append(np.reciprocal(gate, gate))
-    c = h @ state[2]
-    c *= both[1]
+def _gates(table: np.ndarray) -> np.ndarray:
+    """The columns of the update gate, the reset gate and the candidate as arrays of their own, the gates' negative."""
+    parts = np.stack([table[:, k * HIDDEN : (k + 1) * HIDDEN] for k in range(3)])
+    np.negative(parts[:2], parts[:2])
+    return parts
+
+
+def _open(gates: np.ndarray, x: np.ndarray) -> None:
+    """Update and reset gates out of the state's and the token's part, in place."""
+    gates += x
+    np.exp(gates, gates)
+    gates += 1
+    np.reciprocal(gates, gates)
+
+
+def _next_state(weights: np.ndarray, x: np.ndarray, h: np.ndarray, room: np.ndarray, out: np.ndarray) -> np.ndarray:
+    """The state one token on, written to ``out``; ``weights`` and ``x``, the tokens' inputs with bias, as of ``_gates``."""
+    np.matmul(h, weights, out=room)
+    _open(room[:2], x[:2])
+    c = room[2]
+    c *= room[1]
     c += x[2]
     np.tanh(c, c)
     np.subtract(h, c, out)
-    out *= both[0]
+    out *= room[0]
     out += c
     return out
 
 
 def _exponentials(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Exponentials over each row's common factor, their sums, and the log of sum times factor."""
-    top = logits.max()  # one for all rows, where none can sink below the smallest float
-    top = top if top - logits.min() < 60 else logits.max(axis=1, keepdims=True)
-    shares = logits - top
-    np.exp(shares, shares)
-    total = shares @ np.ones(logits.shape[1], logits.dtype)
-    return shares, total, np.log(total) + np.ravel(top)
+    ones = np.ones(logits.shape[1], logits.dtype)
+    with np.errstate(over="ignore"):
+        shares = np.exp(logits)
+        total = shares @ ones
+    if not len(total) or (total.min() > 1e-30 and total.max() < 1e30):  # far from a float's bounds
+        return shares, total, np.log(total)
+    top = logits.max(axis=1, keepdims=True)
+    shares = np.exp(logits - top)
+    total = shares @ ones
+    return shares, total, np.log(total) + top[:, 0]
 
 
 def _log_total(logits: np.ndarray) -> np.ndarray:
@@ -150,20 +141,21 @@ def _log_total(logits: np.ndarray) -> np.ndarray:
     return _exponentials(logits)[2]
 
 
-def _softmax(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Shares and the log of what they were divided by."""
-    shares, total, log_total = _exponentials(logits)
-    shares /= total[:, None]
-    return shares, log_total
+def _slopes(logits: np.ndarray, own: np.ndarray, scale: np.ndarray) -> tuple[np.ndarray, float]:
+    """Gradients of the logits of the log loss, each row times its scale, and the loss; ``own`` are the targets."""
+    shares, total, _ = _exponentials(logits)
+    rows = np.arange(len(own))
+    loss = -(scale * np.log(np.maximum(shares[rows, own] / total, 1e-30))).sum()
+    shares *= (scale / total)[:, None]
+    shares[rows, own] -= scale
+    return shares, float(loss)
 
 
-def _groups(classes: np.ndarray, n: int):
-    """Rows of each word class that has any."""
+def _by_class(classes: np.ndarray, n: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """Rows of word classes in class order, and where those of each class that has any stand."""
     order = np.argsort(classes, kind="stable")
-    edges = np.searchsorted(classes[order], np.arange(n + 1))
-    for c in range(n):
-        if edges[c + 1] > edges[c]:
-            yield c, order[edges[c] : edges[c + 1]]
+    edges = np.searchsorted(classes[order], np.arange(n + 1)).tolist()
+    return order[: edges[-1]], [(k, edges[k], edges[k + 1]) for k in range(n) if edges[k + 1] > edges[k]]
 
 
 def log_shares(p: Params, lexicon: Lexicon, h: np.ndarray, target: np.ndarray) -> np.ndarray:
@@ -175,9 +167,12 @@ def log_shares(p: Params, lexicon: Lexicon, h: np.ndarray, target: np.ndarray) -
         logits = h[part] @ p["class"]
         logits += p["class_bias"]
         out[part] = logits[np.arange(len(logits)), classes[part]] - _log_total(logits)
-    for c, rows in _groups(classes, lexicon.classes):
-        logits = h[rows] @ p["word"][c] + p["word_bias"][c]
-        out[rows] += logits[np.arange(len(rows)), target[rows] - c * CLASS] - _log_total(logits)
+    at, edges = _by_class(classes, lexicon.classes)
+    own, place = h[at], target[at] % CLASS
+    for c, low, high in edges:
+        logits = own[low:high] @ p["word"][c]
+        logits += p["word_bias"][c]
+        out[at[low:high]] += logits[np.arange(high - low), place[low:high]] - _log_total(logits)
     return out
 
 
@@ -189,52 +184,74 @@ def gradients(
     ``real`` tells which targets count, by default all.
     """
     n, steps, lanes = HIDDEN, *tokens.shape
-    trace, states = [], []
+    kind, groups = p["state"].dtype, lexicon.classes
+    keep = (tokens != lexicon.end).astype(kind)[:, :, None]  # a document starts from an empty state
+    tables, weights = _gates(p["input"] + p["gate"]), _gates(p["state"])
+    x = np.stack([table[tokens] for table in tables], axis=1)
+    gates = np.empty((steps, 2, lanes, n), kind)
+    before, opened, c, apart, after = (np.empty((steps, lanes, n), kind) for _ in range(5))
     for t in range(steps):
-        h = h * (tokens[t] != lexicon.end)[:, None]  # a document starts from an empty state
-        z, r, c, g, after = _step(p, tokens[t], h)
-        trace.append((h, z, r, c, g))
-        states.append(after)
-        h = after
-    every, flat = np.concatenate(states), target.ravel()
-    counted = np.ones(len(flat), np.float32) if real is None else real.ravel().astype(np.float32)
+        np.multiply(h, keep[t], before[t])
+        np.matmul(before[t], weights[:2], out=gates[t])
+        _open(gates[t], x[t, :2])
+        np.matmul(before[t], weights[2], out=opened[t])
+        opened[t] *= gates[t, 1]
+        np.add(opened[t], x[t, 2], c[t])
+        np.tanh(c[t], c[t])
+        np.subtract(before[t], c[t], apart[t])
+        np.multiply(apart[t], gates[t, 0], after[t])
+        after[t] += c[t]
+        h = after[t]
+    z, r = gates[:, 0], gates[:, 1]
+    flat = target.ravel()
+    every = np.ones((len(flat), n + 1), kind)  # the last column takes the bias
+    every[:, :n] = after.reshape(-1, n)
+    counted = np.ones(len(flat), kind) if real is None else real.ravel().astype(kind)
     classes, scale = lexicon.class_of(flat), counted / counted.sum()
-    d = {k: np.zeros_like(v) for k, v in p.items()}
-    share, _ = _softmax(every @ p["class"] + p["class_bias"])
-    rows = np.arange(len(flat))
-    loss = -(scale * np.log(np.maximum(share[rows, classes], 1e-30))).sum()
-    share[rows, classes] -= 1
-    share *= scale[:, None]
-    d["class"], d["class_bias"] = every.T @ share, share.sum(axis=0)
+    d = {}
+    share, loss = _slopes(every @ np.vstack((p["class"], p["class_bias"])), classes, scale)
+    both = every.T @ share
+    d["class"], d["class_bias"] = both[:n], both[n]
     d_state = share @ p["class"].T
-    for c, at in _groups(classes, lexicon.classes):
-        share, _ = _softmax(every[at] @ p["word"][c] + p["word_bias"][c])
-        own = flat[at] - c * CLASS
-        loss -= (scale[at] * np.log(np.maximum(share[np.arange(len(at)), own], 1e-30))).sum()
-        share[np.arange(len(at)), own] -= 1
-        share *= scale[at, None]
-        d["word"][c], d["word_bias"][c] = every[at].T @ share, share.sum(axis=0)
-        d_state[at] += share @ p["word"][c].T
+    at, edges = _by_class(classes, groups)
+    own, mine = every[at], np.empty((len(at), CLASS), kind)
+    words = np.concatenate((p["word"], p["word_bias"][:, None]), axis=1)
+    for k, low, high in edges:
+        np.matmul(own[low:high], words[k], out=mine[low:high])
+    share, more = _slopes(mine, flat[at] % CLASS, scale[at])
+    d_words, d_own = np.zeros_like(words), np.empty((len(at), n), kind)
+    for k, low, high in edges:
+        np.matmul(own[low:high].T, share[low:high], out=d_words[k])
+        np.matmul(share[low:high], p["word"][k].T, out=d_own[low:high])
+    d["word"], d["word_bias"] = np.ascontiguousarray(d_words[:, :n]), np.ascontiguousarray(d_words[:, n])
+    d_state[at] += d_own
     d_state = d_state.reshape(steps, lanes, n)
-    later = np.zeros((lanes, n), np.float32)
-    d_inputs = np.empty((steps, lanes, 3 * n), np.float32)
+    to_c = (1 - z) * (1 - c * c)
+    to_z = apart * z * (1 - z)
+    to_r = opened * (1 - r)
+    later, back = np.zeros((lanes, n), kind), np.ascontiguousarray(p["state"].T)
+    d_g, d_c = np.empty((steps, lanes, 3 * n), kind), np.empty((steps, lanes, n), kind)
     for t in range(steps - 1, -1, -1):
-        before, z, r, c, g = trace[t]
-        dh = d_state[t] + later
-        d_c = dh * (1 - z) * (1 - c * c)
-        d_z = dh * (before - c) * z * (1 - z)
-        d_r = d_c * g[:, 2 * n :] * r * (1 - r)
-        d_inputs[t] = np.concatenate((d_z, d_r, d_c), axis=1)
-        d_g = np.concatenate((d_z, d_r, d_c * r), axis=1)
-        d["state"] += before.T @ d_g
-        later = (dh * z + d_g @ p["state"].T) * (tokens[t] != lexicon.end)[:, None]
-    flat_inputs = d_inputs.reshape(-1, 3 * n)
-    d["gate"] = flat_inputs.sum(axis=0)
+        dh = d_state[t]
+        dh += later
+        np.multiply(dh, to_c[t], d_c[t])
+        np.multiply(dh, to_z[t], d_g[t, :, :n])
+        np.multiply(d_c[t], to_r[t], d_g[t, :, n : 2 * n])
+        np.multiply(d_c[t], r[t], d_g[t, :, 2 * n :])
+        np.matmul(d_g[t], back, out=later)
+        dh *= z[t]
+        later += dh
+        later *= keep[t]
+    flat_inputs = d_g.reshape(-1, 3 * n)
+    d["state"] = before.reshape(-1, n).T @ flat_inputs
+    d_g[:, :, 2 * n :] = d_c
+    d["gate"] = np.ones(len(flat), kind) @ flat_inputs
     order = np.argsort(tokens, axis=None, kind="stable")
     met = tokens.ravel()[order]
     heads = B.group_heads(met)
+    d["input"] = np.zeros_like(p["input"])
     d["input"][met[heads]] = np.add.reduceat(flat_inputs[order], heads, axis=0)
-    return d, h, float(loss)
+    return d, h, loss + more
 
 
 def learn(p: Params, lexicon: Lexicon, stream: np.ndarray, rate: float) -> Params:
@@ -242,6 +259,7 @@ def learn(p: Params, lexicon: Lexicon, stream: np.ndarray, rate: float) -> Param
     p = {k: v.copy() for k, v in p.items()}
     first = {k: np.zeros_like(v) for k, v in p.items()}
     second = {k: np.zeros_like(v) for k, v in p.items()}
+    spare = {k: np.empty_like(v) for k, v in p.items()}
     n = len(stream) - 1
     if n < 1:
         return p
@@ -255,13 +273,24 @@ def learn(p: Params, lexicon: Lexicon, stream: np.ndarray, rate: float) -> Param
     for update, at in enumerate(range(0, length, WINDOW), 1):
         part = slice(at, at + WINDOW)
         d, h, _ = gradients(p, lexicon, tokens[part], target[part], h, real[part])
-        norm = np.sqrt(sum(float((v * v).sum()) for v in d.values()))
+        norm = np.sqrt(sum(float(np.vdot(v, v)) for v in d.values()))
+        shrink, even = min(1.0, 5.0 / (norm + 1e-9)), (1 - 0.99**update) ** -0.5
         for k, v in d.items():
-            v *= np.float32(min(1.0, 5.0 / (norm + 1e-9)))
-            first[k] += np.float32(0.1) * (v - first[k])
-            second[k] += np.float32(0.01) * (v * v - second[k])
-            m, s = first[k] / (1 - 0.9**update), second[k] / (1 - 0.99**update)
-            p[k] -= np.float32(rate) * (m / (np.sqrt(s) + np.float32(1e-8))).astype(np.float32)
+            room = spare[k]
+            v *= shrink
+            np.subtract(v, first[k], room)
+            room *= 0.1
+            first[k] += room
+            v *= v
+            v -= second[k]
+            v *= 0.01
+            second[k] += v
+            np.sqrt(second[k], room)
+            room *= even
+            room += 1e-8
+            np.divide(first[k], room, room)
+            room *= rate / (1 - 0.9**update)
+            p[k] -= room
     return p
 
 
@@ -272,7 +301,8 @@ def score_texts(p: Params, lexicon: Lexicon, ids: np.ndarray, first: np.ndarray)
     begin, length = first[:-1][order], length[order]
     total = np.zeros(len(order))
     h = np.zeros((len(order), HIDDEN), np.float32)
-    tables, state = _gates(p["input"] + p["gate"]), _gates(p["state"])
+    tables, weights = _gates(p["input"] + p["gate"]), _gates(p["state"])
+    room = np.empty((3, *h.shape), np.float32)
     steps = int(length[0]) if len(length) else 0
     live = len(order) - np.searchsorted(length[::-1], np.arange(steps), side="right")
     edges = np.concatenate(([0], np.cumsum(live)))  # all first tokens, all second ones, and so on
@@ -284,11 +314,12 @@ def score_texts(p: Params, lexicon: Lexicon, ids: np.ndarray, first: np.ndarray)
         row = np.arange(near[-1]) - np.repeat(near[:-1], live[at:to])
         place = begin[row] + step
         before = np.where(step > 0, ids[place - 1], lexicon.end)
-        x = [table[before] for table in tables]
+        x = np.take(tables, before, axis=1)
         states = np.empty((len(place), HIDDEN), np.float32)
         bounds = near.tolist()
         for low, high in zip(bounds[:-1], bounds[1:], strict=True):
-            h = _next_state(state, [v[low:high] for v in x], h[: high - low], states[low:high])
+            n = high - low
+            h = _next_state(weights, x[:, low:high], h[:n], room[:, :n], states[low:high])
         total += np.bincount(row, weights=log_shares(p, lexicon, states, ids[place]), minlength=len(total))
         at = to
     out = np.empty(len(order))
@@ -309,7 +340,7 @@ def _train_counts(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     words = Words(table["text"], lower=True)
     learnt = table["learnt"].to_numpy()[words.text_of].astype(np.int64)
     hashes = words.hashes()
-    keys, place = np.unique(hashes, return_inverse=True)
+    keys, place = B.numbered(hashes)
     return keys, np.bincount(place, weights=learnt, minlength=len(keys)).astype(np.int64)
 
 
@@ -448,7 +479,7 @@ def scores(docs: DataFrame, learnt: Column | None = None, id_col: str = "doc_id"
         known, weights = sent.value
         words = Words(left["text"], lower=True)
         hashes = words.hashes()
-        counts = B.answers_of(right)[np.searchsorted(np.unique(hashes), hashes)] if len(hashes) else np.zeros(0)
+        counts = B.answers_of(right)[B.numbered(hashes)[1]] if len(hashes) else np.zeros(0)
         base = known.total + ADD * (known.distinct + 1)
         edges = words.first
 
@@ -457,7 +488,7 @@ def scores(docs: DataFrame, learnt: Column | None = None, id_col: str = "doc_id"
 
         ids, first = _token_ids(known, words, hashes)
         other = known.other_total + ADD * (known.other_distinct + 1)
-        outside = known.look_up(hashes) == known.other
+        outside = ids[np.arange(len(hashes)) + words.text_of] == known.other
         rare = np.where(outside, np.log10(np.where(outside, counts, 0) + ADD) - np.log10(other), 0)
         table = {
             "doc_id": left["doc_id"],

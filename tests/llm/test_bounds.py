@@ -13,7 +13,7 @@ import time
 import numpy as np
 from conftest import prose
 
-from millrace.llm import catalog, hamming, language, packing, secrets, substrings
+from millrace.llm import blocks, catalog, hamming, language, packing, recurrent, secrets, substrings
 from millrace.llm.tokens import WordIds, public_path
 
 FOLDER = "/root/testdata/sf0.001"
@@ -207,3 +207,54 @@ def test_a_worker_gives_back_what_a_block_used():
     told = subprocess.run([sys.executable, "-c", MEMORY], cwd=root, capture_output=True, text=True, check=True).stdout
     before, after, left = map(float, told.split())
     assert left - before < 0.75 * (after - before)
+
+
+def test_a_block_numbers_its_words_at_the_cost_of_a_few_sorts():
+    keys = np.random.default_rng(6).integers(0, 1 << 63, 400_000).astype(np.uint64)
+    keys[::3] = keys[5]
+    found, number = blocks.numbered(keys)
+    plain, place = np.unique(keys, return_inverse=True)
+    assert (found == plain).all() and (number == place).all()
+    assert least_time(lambda: blocks.numbered(keys)) < 15 * least_time(lambda: np.sort(keys))
+
+
+def test_updates_are_adams_and_take_no_fresh_arrays(monkeypatch):
+    lexicon = recurrent.Lexicon(np.arange(1, 4001, dtype=np.uint64), np.arange(4000, 0, -1), 200, 9_000_000, 13_000)
+    p, rng = recurrent.initial(lexicon), np.random.default_rng(7)
+    given = [{k: rng.normal(0, 1e-3, v.shape).astype(np.float32) for k, v in p.items()} for _ in range(2)]
+    given[1]["state"][:] = 1  # beyond the bound of the norm
+    stream = np.full(recurrent.WINDOW * 40 + 1, 5)
+    asked = []
+
+    def gradients(p, lexicon, tokens, target, h, real):
+        asked.append(len(asked) % 2)
+        return {k: v.copy() for k, v in given[asked[-1]].items()}, h, 0.0
+
+    def plain():
+        q = {k: v.copy() for k, v in p.items()}
+        first, second = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2))
+        for update in range(1, 41):
+            d, _, _ = gradients(q, lexicon, None, None, None, None)
+            norm = np.sqrt(sum(float((v * v).sum()) for v in d.values()))
+            for k, v in d.items():
+                v = v * np.float32(min(1.0, 5.0 / norm))
+                first[k] = first[k] + np.float32(0.1) * (v - first[k])
+                second[k] = second[k] + np.float32(0.01) * (v * v - second[k])
+                m, s = first[k] / (1 - 0.9**update), second[k] / (1 - 0.99**update)
+                q[k] = q[k] - np.float32(0.01) * (m / (np.sqrt(s) + np.float32(1e-8)))
+        return q
+
+    monkeypatch.setattr(recurrent, "gradients", gradients)
+    mine, other = recurrent.learn(p, lexicon, stream, 0.01), plain()
+    assert len(asked) == 80
+    assert all(np.allclose(mine[k], other[k], rtol=1e-4, atol=1e-5) for k in p)
+    assert least_time(lambda: recurrent.learn(p, lexicon, stream, 0.01)) < 0.8 * least_time(plain)
+
+
+def test_shares_far_from_a_floats_bounds():
+    for low, high in ((-1, 1), (-200, -150), (150, 200), (-300, 300)):
+        logits = np.random.default_rng(8).uniform(low, high, (50, 66)).astype(np.float32)
+        exact = np.logaddexp.reduce(logits.astype(np.float64), axis=1)
+        shares, total, log_total = recurrent._exponentials(logits)
+        assert np.allclose(log_total, exact, rtol=1e-5)
+        assert np.allclose(shares / total[:, None], np.exp(logits - exact[:, None]), atol=1e-4)
